@@ -169,6 +169,7 @@ class Contract:
 
     ``slice_by`` is a SQL expression over the columns. Every distinct value is one
     directory of files, the unit that reruns replace and reads can skip.
+    ``slice_follows_key`` says that rows of one key can only be in one slice.
     ``surrogate`` names the column that holds the hash of the business key.
     """
 
@@ -177,6 +178,7 @@ class Contract:
     key: tuple[str, ...] = ()
     surrogate: str | None = None
     slice_by: str = "'all'"
+    slice_follows_key: bool = True
 
     @cached_property
     def schema(self) -> T.StructType:
@@ -189,14 +191,18 @@ def rejected_name(raw_name: str) -> str:
 
 
 _RAW = [
-    Contract("bronze.flight_operations_raw", FLIGHT_OPERATIONS_RAW, slice_by="batch_id"),
-    Contract("bronze.airports_raw", AIRPORTS_RAW, slice_by="batch_id"),
-    Contract("bronze.aircraft_reference_raw", AIRCRAFT_REFERENCE_RAW, slice_by="batch_id"),
-    Contract("bronze.weather_metar_raw", WEATHER_METAR_RAW, slice_by="batch_id"),
+    Contract(name, ddl, slice_by="batch_id", slice_follows_key=False)
+    for name, ddl in (
+        ("bronze.flight_operations_raw", FLIGHT_OPERATIONS_RAW),
+        ("bronze.airports_raw", AIRPORTS_RAW),
+        ("bronze.aircraft_reference_raw", AIRCRAFT_REFERENCE_RAW),
+        ("bronze.weather_metar_raw", WEATHER_METAR_RAW),
+    )
 ]
 _CONTRACTS = [
     *_RAW,
-    *[Contract(rejected_name(raw.name), REJECTED, slice_by="batch_id") for raw in _RAW],
+    *[Contract(rejected_name(raw.name), REJECTED, slice_by="batch_id", slice_follows_key=False)
+      for raw in _RAW],
     Contract("silver.airports_clean", AIRPORTS_CLEAN,
              ("airport_iata_code", "airport_icao_code", "airport_ident"), "airport_key"),
     Contract("silver.aircraft_reference_clean", AIRCRAFT_REFERENCE_CLEAN,

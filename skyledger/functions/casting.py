@@ -24,6 +24,11 @@ def missing_fields(schema: T.StructType, known: Iterable[str]) -> list[T.StructF
     return [f for f in schema.fields if f.name not in known]
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def conform(df: DataFrame, schema: T.StructType, skip: Iterable[str] = ()) -> DataFrame:
     """Project ``df`` onto ``schema``.
 
@@ -37,8 +42,8 @@ def conform(df: DataFrame, schema: T.StructType, skip: Iterable[str] = ()) -> Da
         if field.name not in have:
             return F.lit(None).cast(field.dataType).alias(field.name)
         if have[field.name] == field.dataType.simpleString():
-            return F.col(field.name)
-        return F.col(field.name).try_cast(field.dataType).alias(field.name)
+            return quoted(field.name)
+        return quoted(field.name).try_cast(field.dataType).alias(field.name)
 
     return df.select([target(f) for f in schema.fields if f.name not in skip])
 

@@ -5,24 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ONE_DAY = "INTERVAL 1 DAY"
 
+def clock_number(hhmm: Column) -> Column:
+    """A clock string as the integer HHMM, NULL when it is NULL or blank.
+
+    Everything but digits is ignored and the first four digits count: ``5`` is 00:05,
+    ``6:10`` is 06:10, ``12345`` is 12:34, text without digits is midnight.
+    """
+    digits = F.left(F.regexp_replace(hhmm, "[^0-9]", ""), F.lit(4))
+    return F.when(F.trim(hhmm) != "", F.coalesce(digits.try_cast("int"), F.lit(0)))
 
-def clock_time(day: Column, hhmm: Column) -> Column:
-    """The wall-clock time ``hhmm`` on ``day``.
 
-    Everything but digits is ignored, the first four digits count and shorter strings
-    are read as if padded with zeros on the left: ``5`` is 00:05, ``6:10`` is 06:10, text without
-    digits is midnight. NULL, blank strings, hours over 23 and minutes over 59 give NULL.
+def clock_time(day: Column, number: Column) -> Column:
+    """The wall-clock time HHMM on ``day``; hours over 23 and minutes over 59 give NULL.
+
+    ``number`` is used several times: pass a column, not a long expression.
     """
-    number = F.coalesce(
-        F.left(F.regexp_replace(hhmm, "[^0-9]", ""), F.lit(4)).try_cast("int"), F.lit(0)
-    )
-    hour = F.floor(number / 100).cast("int")
-    minute = number % 100
-    readable = (F.trim(hhmm) != "") & (hour < 24) & (minute < 60)
+    hour, minute = (number / 100).cast("int"), number % 100
     return F.when(
-        readable,
+        (number < 2400) & (minute < 60),
         F.try_make_timestamp(
             F.year(day), F.month(day), F.dayofmonth(day), hour, minute, F.lit(0).cast("decimal(16,6)")
         ),
@@ -31,12 +32,12 @@ def clock_time(day: Column, hhmm: Column) -> Column:
 
 def not_before(moment: Column, start: Column) -> Column:
     """``moment``, moved to the next day when it lies before ``start``."""
-    return F.when(moment < start, moment + F.expr(ONE_DAY)).otherwise(moment)
+    return F.when(moment < start, moment + F.expr("INTERVAL 1 DAY")).otherwise(moment)
 
 
 def departure_after_delay(actual: Column, scheduled: Column, delay_minutes: Column) -> Column:
     """Opt-in reading of a departure after midnight: a late departure that appears to
     lie before its schedule belongs to the next day."""
     return F.when(
-        (delay_minutes > 0) & (actual < scheduled), actual + F.expr(ONE_DAY)
+        (delay_minutes > 0) & (actual < scheduled), actual + F.expr("INTERVAL 1 DAY")
     ).otherwise(actual)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.calendar import first_match, month_label
 from skyledger.functions.casting import is_blank, whole_minutes
-from skyledger.functions.clock import clock_time, departure_after_delay, not_before
+from skyledger.functions.clock import clock_number, clock_time, departure_after_delay, not_before
 from skyledger.functions.measures import CAUSES, LATE_MINUTES
 from skyledger.operators.dedup import latest_per_key
 
@@ -27,37 +27,47 @@ _MINUTES = {
 }
 
 
-def latest_flights(raw: DataFrame) -> DataFrame:
-    """The newest version of every flight, with normalised key columns.
+_CLOCKS = ("crs_dep_time", "dep_time", "crs_arr_time", "arr_time")
 
-    Only raw columns pass through the shuffle; everything derived is computed after it.
-    """
+
+def normalise_flights(raw: DataFrame) -> DataFrame:
+    """Trimmed, upper-cased key columns."""
     def code(name: str) -> Column:
         return F.upper(F.trim(name))
 
-    keyed = raw.withColumns({
+    return raw.withColumns({
         "flight_date": F.col("flight_date").try_cast("date"),
         "flight_number": F.trim("flight_number"),
         "origin_airport": code("origin_airport"),
         "dest_airport": code("dest_airport"),
     })
-    return latest_per_key(keyed, FLIGHT_KEY)
 
 
 def derive_flight_columns(flights: DataFrame, *, roll_late_departures: bool = False) -> DataFrame:
-    """Schedule and actual times, flags and whole minutes."""
+    """Schedule and actual times, flags and whole minutes.
+
+    Built in steps: a column that later steps use more than once is computed in its own
+    projection, so no clock string is parsed twice.
+    """
     day = F.col("flight_date")
-    cancelled = F.col("cancelled").try_cast("int") == 1
-    operated = ~F.coalesce(cancelled, F.lit(False))  # an unknown flag keeps the actual times
-
-    departs = clock_time(day, F.col("crs_dep_time"))
-    departed = F.when(operated, clock_time(day, F.col("dep_time")))
-    timed = flights.withColumns({
-        "scheduled_departure_ts": departs,
-        "_arrives": clock_time(day, F.col("crs_arr_time")),
-        "actual_departure_ts": departed,
-        "_arrived": F.when(operated, clock_time(day, F.col("arr_time"))),
+    operated = ~F.coalesce("cancelled_flag", F.lit(False))  # an unknown flag keeps the actual times
+
+    def at(name: str) -> Column:
+        return clock_time(day, F.col(f"_{name}"))
+
+    parsed = flights.withColumns({
+        **{f"_{name}": clock_number(F.col(name)) for name in _CLOCKS},
         **{new: whole_minutes(F.col(old)) for new, old in _MINUTES.items()},
+        "cancelled_flag": F.col("cancelled").try_cast("int") == 1,
+        "diverted_flag": F.col("diverted").try_cast("int") == 1,
+        "route_code": F.concat_ws("-", "origin_airport", "dest_airport"),
+        "year_month": month_label(day),
+    })
+    timed = parsed.withColumns({
+        "scheduled_departure_ts": at("crs_dep_time"),
+        "scheduled_arrival_ts": at("crs_arr_time"),
+        "actual_departure_ts": F.when(operated, at("dep_time")),
+        "actual_arrival_ts": F.when(operated, at("arr_time")),
     })
     if roll_late_departures:
         timed = timed.withColumn("actual_departure_ts", departure_after_delay(
@@ -65,13 +75,11 @@ def derive_flight_columns(flights: DataFrame, *, roll_late_departures: bool = Fa
             F.col("departure_delay_minutes"),
         ))
     return timed.withColumns({
-        "scheduled_arrival_ts": not_before(F.col("_arrives"), F.col("scheduled_departure_ts")),
-        "actual_arrival_ts": not_before(F.col("_arrived"), F.col("actual_departure_ts")),
-        "cancelled_flag": cancelled,
-        "diverted_flag": F.col("diverted").try_cast("int") == 1,
-        "route_code": F.concat_ws("-", "origin_airport", "dest_airport"),
-        "year_month": month_label(day),
-    }).drop("_arrives", "_arrived")
+        "scheduled_arrival_ts": not_before(
+            F.col("scheduled_arrival_ts"), F.col("scheduled_departure_ts")
+        ),
+        "actual_arrival_ts": not_before(F.col("actual_arrival_ts"), F.col("actual_departure_ts")),
+    }).drop(*[f"_{name}" for name in _CLOCKS])
 
 
 def quality_issue(bounds: Bounds | None = None) -> Column:
@@ -99,10 +107,17 @@ def quality_issue(bounds: Bounds | None = None) -> Column:
 def classify_flights(
     raw: DataFrame, *, bounds: Bounds | None = None, roll_late_departures: bool = False
 ) -> DataFrame:
-    """Raw flights -> one judged row per flight key."""
-    latest = latest_flights(raw)
-    derived = derive_flight_columns(latest, roll_late_departures=roll_late_departures)
-    return derived.withColumn("quality_issue_reason", quality_issue(bounds))
+    """Raw flights -> the newest version of each flight, judged.
+
+    Rows are judged before the shuffle of the deduplication: a later filter on the
+    verdict then reads a plain column instead of repeating the rules, and the shuffled
+    row carries four timestamps in place of the clock strings.
+    """
+    derived = normalise_flights(raw).transform(
+        derive_flight_columns, roll_late_departures=roll_late_departures
+    )
+    judged = derived.withColumn("quality_issue_reason", quality_issue(bounds))
+    return latest_per_key(judged, FLIGHT_KEY)
 
 
 def valid_flights(classified: DataFrame) -> DataFrame:

@@ -10,18 +10,29 @@ from pyspark.sql import DataFrame, SparkSession
 _local_dirs: dict[str, str] = {}
 
 
+# Settings the jobs rely on. The method limit keeps generated code within what the JVM
+# compiles: the wide projections here would otherwise run interpreted, several times slower.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session built elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "skyledger", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the jobs expect. Extra settings win."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
-    }
-    settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
+    settings = {**SETTINGS, **{key: str(value) for key, value in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
