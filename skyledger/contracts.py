@@ -159,6 +159,16 @@ PIPELINE_RUN_LOG = """
     restored_version BIGINT, error_message STRING, details STRING
 """
 
+# Tables of our own: what a training run used and reached, and the models it left.
+MODEL_RUNS = """
+    run_id STRING, model_name STRING, model_version STRING, trained_at TIMESTAMP,
+    params STRING, metrics STRING, importances STRING, confusion STRING, tags STRING
+"""
+MODEL_REGISTRY = """
+    model_name STRING, model_version STRING, path STRING, run_id STRING,
+    registered_at TIMESTAMP
+"""
+
 _FLIGHT_KEY = ("flight_date", "reporting_airline", "flight_number", "origin_airport", "dest_airport")
 _FLIGHT_MONTH = "date_format(flight_date, 'yyyy-MM')"
 
@@ -229,7 +239,10 @@ _CONTRACTS = [
     Contract("gold.ml_features", ML_FEATURES, _FLIGHT_KEY, slice_by="year_month"),
     Contract("gold.ml_predictions", ML_PREDICTIONS, (*_FLIGHT_KEY, "model_version"),
              slice_by="year_month"),
-    Contract("audit.pipeline_run_log", PIPELINE_RUN_LOG),
+    Contract("gold.model_runs", MODEL_RUNS, ("run_id",)),
+    Contract("gold.model_registry", MODEL_REGISTRY, ("model_name", "model_version")),
+    Contract("audit.pipeline_run_log", PIPELINE_RUN_LOG,
+             slice_by="date_format(event_timestamp, 'yyyy-MM')"),
 ]
 CONTRACTS = {contract.name: contract for contract in _CONTRACTS}
 

@@ -14,6 +14,7 @@ from skyledger.contracts import contract
 from skyledger.sources.snapshots import SnapshotTable, Tables
 
 AUDIT_TABLE = "audit.pipeline_run_log"
+COMPACT_AT = 256  # directories the log may consist of before they are merged
 
 
 def new_run_id() -> str:
@@ -41,7 +42,9 @@ class RunLog:
         }
         schema = contract(AUDIT_TABLE).schema
         values = [tuple(row.get(name) for name in schema.names)]
-        audit.publish(self.tables.spark.createDataFrame(values, schema).coalesce(1), "append")
+        version = audit.publish(self.tables.spark.createDataFrame(values, schema).coalesce(1), "append")
+        if len(version.slices) > COMPACT_AT:
+            audit.compact()
 
 
 @dataclass

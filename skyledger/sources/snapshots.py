@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -293,6 +294,15 @@ class SnapshotTable:
             ))
         return sum(s.rows for s in gone)
 
+    def compact(self) -> Version:
+        """Rewrite the slices that consist of several directories into one each."""
+        head = self._at()
+        values = [s.value for s in head.slices]
+        crowded = {v for v, n in Counter(values).items() if n > 1}
+        if not crowded:
+            return head
+        return self.publish(self.read(slices=crowded), "replace", replacing=crowded)
+
     def upsert(self, df: DataFrame, *, latest: Sequence[str] | None = None) -> Version:
         """Replace rows with the same business key (NULLs match), add the others.
 
@@ -328,19 +338,18 @@ class SnapshotTable:
 
 
 class Tables:
-    """All tables below one root directory."""
+    """All tables below one root directory: those of the contracts, and further ones."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, further: Iterable[Contract] = ()):
         self.spark = spark
         self.root = root
+        self._further = {table.name: table for table in further}
 
-    def table(self, name: str | Contract) -> SnapshotTable:
-        return SnapshotTable(
-            self.spark, self.root, name if isinstance(name, Contract) else contract(name)
-        )
+    def table(self, name: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, self.root, self._further.get(name) or contract(name))
 
     def create(self, names: Iterable[str] | None = None) -> Tables:
-        for name in CONTRACTS if names is None else names:
+        for name in (*CONTRACTS, *self._further) if names is None else names:
             self.table(name).create()
         return self
 

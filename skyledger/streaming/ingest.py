@@ -38,6 +38,7 @@ def ingest_stream(
 
     landed = (
         tables.spark.readStream.format("binaryFile")
+        .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(spec.source_path)

@@ -306,3 +306,168 @@ SELECT {_ID}, route_code, tail_number, {_TEMPORAL}, route_avg_arr_delay_90d,
   {_AIRCRAFT_CODE}, {_ORIGIN_WEATHER}, coalesce(arrival_delay_minutes, 0) >= 15 AS is_delayed,
   f.ingestion_timestamp, f.batch_id, year_month
 FROM features f LEFT JOIN hours ON {_AT_DEPARTURE}"""
+
+# Ingestion and versioned tables ---------------------------------------------------------
+
+_DIRTY_EVENTS = """dirty AS (SELECT CAST(event_id AS VARCHAR) AS event_id,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type,
+    CASE WHEN event_id % 23 = 3 THEN 'u' || user_id ELSE CAST(user_id AS VARCHAR) END AS user_id,
+    CASE WHEN event_type = 'error' AND event_id % 17 < 4 THEN 'n/a'
+      ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END AS value
+  FROM events),
+judged AS (SELECT *, user_id LIKE 'u%' AS odd_user, value = 'n/a' AS odd_value FROM dirty)"""
+_TYPED = """CAST(event_id AS BIGINT) AS event_id, CAST(ts AS TIMESTAMP) AS ts,
+  TRY_CAST(user_id AS BIGINT) AS user_id, event_type, TRY_CAST(value AS DOUBLE) AS value"""
+_RESCUED = """CASE WHEN odd_user AND odd_value THEN '{"user_id":"' || user_id || '","value":"n/a"}'
+  WHEN odd_user THEN '{"user_id":"' || user_id || '"}'
+  WHEN odd_value THEN '{"value":"n/a"}' END AS rescued_data"""
+
+SQL["rescued_split"] = f"""WITH {_DIRTY_EVENTS}
+SELECT {_TYPED}, CASE WHEN odd_user OR odd_value THEN 'rescued' ELSE 'clean' END AS lane, {_RESCUED}
+FROM judged"""
+
+SQL["rejected_records"] = f"""WITH {_DIRTY_EVENTS}
+SELECT 'bronze.events_raw' AS source_table, 'app' AS source_system,
+  'events_' || event_type || '.csv' AS source_file_name, {_RESCUED},
+  '{{"event_id":"' || event_id || '","ts":"' || ts || '","user_id":"' || user_id
+    || '","event_type":"' || event_type || '","value":"' || value || '"}}' AS raw_payload,
+  'b1' AS batch_id
+FROM judged WHERE odd_user OR odd_value"""
+
+SQL["align_schema"] = """SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey,
+  CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_quantity AS INTEGER) AS l_quantity,
+  CAST(NULL AS VARCHAR) AS l_note, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem"""
+
+SQL["enrich_metadata"] = """SELECT event_id,
+  CASE WHEN event_type = 'view' THEN 'landed.csv' ELSE event_type END AS source_file_name,
+  ts AS ingestion_timestamp,
+  CASE WHEN event_type = 'click' THEN 'run-1' ELSE 'b_' || event_type END AS batch_id,
+  'app' AS source_system FROM events"""
+
+_ORDERS = """batches AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+    'b' || CAST(year(o_orderdate) AS VARCHAR) AS batch_id FROM orders)"""
+
+SQL["replace_batch"] = f"""WITH {_ORDERS}
+SELECT * REPLACE (CASE WHEN batch_id = 'b1995' THEN CAST(0 AS DOUBLE) ELSE o_totalprice END
+  AS o_totalprice) FROM batches"""
+
+SQL["delete_batch"] = f"WITH {_ORDERS} SELECT * FROM batches WHERE batch_id NOT IN ('b1995', 'b1996')"
+
+SQL["append_and_compact"] = f"WITH {_ORDERS} SELECT * FROM batches"
+
+SQL["evolve_schema"] = f"""WITH {_ORDERS}
+SELECT *, CASE WHEN batch_id <> 'b1995' THEN upper(o_orderstatus) END AS priority FROM batches"""
+
+SQL["upsert"] = """SELECT c_custkey, c_name, c_acctbal,
+  CASE c_mktsegment WHEN 'BUILDING' THEN 'MACHINERY' ELSE c_mktsegment END AS c_mktsegment
+FROM customer
+UNION ALL SELECT -1 - c_custkey, c_name, c_acctbal, c_mktsegment FROM customer"""
+
+SQL["surrogate_keys"] = """SELECT count(*) AS keys, count(*) AS customers,
+  CAST(1 AS BIGINT) AS customers_per_key FROM customer"""
+
+SQL["restore_version"] = f"WITH {_ORDERS} SELECT * FROM batches"
+
+SQL["table_history"] = """WITH n AS (SELECT count(*) AS n FROM orders)
+SELECT CAST(0 AS BIGINT) AS version, 'create' AS operation, CAST(0 AS BIGINT) AS rows_written,
+  CAST(0 AS BIGINT) AS rows_removed
+UNION ALL SELECT 1, 'overwrite', n, 0 FROM n
+UNION ALL SELECT 2, 'append', n, 0 FROM n
+UNION ALL SELECT 3, 'restore 1', 0, n FROM n"""
+
+SQL["stage_rollback_audit"] = """WITH n AS (SELECT count(*) AS n FROM orders),
+log AS (
+  SELECT 'load' AS stage_name, 'r1' AS run_id, 'STARTED' AS status,
+    CAST(NULL AS BIGINT) AS rows_written, CAST(NULL AS BIGINT) AS rows_removed,
+    CAST(NULL AS BIGINT) AS restored_version, CAST(NULL AS VARCHAR) AS error_message, n AS rows_kept
+  FROM n
+  UNION ALL SELECT 'load', 'r1', 'SUCCESS', n, 0, NULL, NULL, n FROM n
+  UNION ALL SELECT 'poison', 'r2', 'STARTED', NULL, NULL, NULL, NULL, NULL
+  UNION ALL SELECT 'poison', 'r2', 'FAILED', NULL, NULL, 1, 'upstream file is broken', NULL)
+SELECT 'orders' AS pipeline_name, 'work.orders' AS target_table, * FROM log"""
+
+
+def _ingested(kind: str, batch: str) -> str:
+    return f"""WITH {_DIRTY_EVENTS}
+SELECT {_TYPED}, 'events.{kind}' AS source_file_name, 'app' AS source_system, '{batch}' AS batch_id,
+  nullif((SELECT count(*) FROM judged WHERE odd_user OR odd_value), 0) AS rejected
+FROM judged WHERE NOT odd_user AND NOT odd_value"""
+
+
+SQL["csv_ingest"] = _ingested("csv", "b1")
+SQL["jsonl_ingest"] = _ingested("jsonl", "b1")
+SQL["stream_ingest"] = _ingested("csv", "events-0")
+
+# Quality, drift and predictions ------------------------------------------------------------
+
+_EXPECTATIONS = {
+    "flight_number_present": "trim(flight_number) <> ''",
+    "airports_differ": "origin_airport <> dest_airport",
+    "arrival_after_departure": "scheduled_arrival_ts >= scheduled_departure_ts",
+    "cancelled_known": "cancelled IS NOT NULL",
+    "delay_in_range": "arrival_delay_minutes BETWEEN -60 AND 600",
+}
+SQL["expectations"] = f"WITH {_CLASSIFIED}\n" + "\nUNION ALL ".join(
+    f"""SELECT '{name}' AS expectation, count(*) AS checked_rows,
+  {_count_if(f'NOT coalesce({text}, false)', 'failed_rows')},
+  count(*) FILTER (WHERE NOT coalesce({text}, false)) = 0 AS passed FROM classified"""
+    for name, text in _EXPECTATIONS.items()
+)
+
+_BASELINE = f"""{_TRAILING},
+scored AS (SELECT *, coalesce(route_delay_rate_90d, 0) AS delay_probability,
+    coalesce(route_delay_rate_90d, 0) >= 0.4 AS predicted_delayed,
+    coalesce(arrival_delay_minutes, 0) >= 15 AS is_delayed FROM features)"""
+
+
+def _prediction_summary(key: str) -> str:
+    return f"""WITH {_BASELINE}
+SELECT {key}, count(*) AS flights, round(avg(delay_probability), 6) AS avg_delay_probability,
+  {_count_if('predicted_delayed', 'predicted_delayed_flights')}
+FROM scored GROUP BY {key}"""
+
+
+SQL["prediction_trend"] = _prediction_summary("flight_date")
+SQL["route_probability"] = _prediction_summary("route_code")
+
+_ACCURACY = """CAST(count(*) FILTER (WHERE predicted_delayed = is_delayed) AS DOUBLE)
+    / nullif(count(*), 0)"""
+SQL["retrain_decision"] = f"""WITH {_BASELINE}
+SELECT count(*) AS evaluated, {_count_if('predicted_delayed = is_delayed', 'correct')},
+  {_ACCURACY} AS accuracy, CAST(0.75 AS DOUBLE) AS min_accuracy, {_ACCURACY} < 0.75 AS retrain
+FROM scored"""
+
+SQL["baseline_metrics"] = f"""WITH {_BASELINE},
+c AS (SELECT count(*) AS evaluated, {_count_if('predicted_delayed = is_delayed', 'correct')},
+    {_count_if('predicted_delayed AND is_delayed', 'hits')},
+    {_count_if('predicted_delayed', 'flagged')}, {_count_if('is_delayed', 'delayed')} FROM scored)
+SELECT *, CAST(correct AS DOUBLE) / nullif(evaluated, 0) AS accuracy,
+  CAST(hits AS DOUBLE) / nullif(flagged, 0) AS precision,
+  CAST(hits AS DOUBLE) / nullif(delayed, 0) AS recall,
+  CAST(2 * hits AS DOUBLE) / nullif(flagged + delayed, 0) AS f1 FROM c"""
+
+_DRIFT_NUMBERS = ("departure_delay_minutes", "arrival_delay_minutes", "distance_miles", "dep_hour")
+_DRIFT_TEXTS = ("reporting_airline", "season", "dep_hour_bucket")
+_BINNED = "\n  UNION ALL ".join(
+    [f"""SELECT '{name}' AS feature, current, CASE WHEN {name} IS NULL THEN '-1' ELSE
+      CAST(CAST(greatest(0, least(9, floor((CAST({name} AS DOUBLE) - low) / (high - low) * 10)))
+        AS INTEGER) AS VARCHAR) END AS bin
+    FROM flagged, (SELECT CAST(min({name}) AS DOUBLE) AS low, CAST(max({name}) AS DOUBLE) AS high
+      FROM flagged WHERE NOT current)""" for name in _DRIFT_NUMBERS]
+    + [f"SELECT '{name}', current, {name} FROM flagged" for name in _DRIFT_TEXTS]
+)
+SQL["drift_psi"] = f"""WITH {_VALID},
+flagged AS (SELECT *, flight_date >= DATE '1999-01-01' AS current
+  FROM (SELECT * EXCLUDE (year_month), {_TEMPORAL} FROM valid)),
+binned AS ({_BINNED}),
+counted AS (SELECT feature, bin, count(*) FILTER (WHERE NOT current) AS before,
+    count(*) FILTER (WHERE current) AS now FROM binned GROUP BY feature, bin),
+shares AS (SELECT feature, CAST(before AS DOUBLE) / sum(before) OVER f AS p,
+    CAST(now AS DOUBLE) / sum(now) OVER f AS q FROM counted WINDOW f AS (PARTITION BY feature)),
+measured AS (SELECT feature, CASE WHEN feature IN {_DRIFT_NUMBERS} THEN 'psi' ELSE 'variation' END AS measure,
+    CASE WHEN feature IN {_DRIFT_NUMBERS}
+      THEN round(sum((greatest(q, 0.0001) - greatest(p, 0.0001))
+        * ln(greatest(q, 0.0001) / greatest(p, 0.0001))), 6)
+      ELSE round(sum(abs(q - p)) / 2, 6) END AS distance
+  FROM shares GROUP BY feature)
+SELECT *, distance > 0.2 AS drifted FROM measured"""
