@@ -44,12 +44,23 @@ def clean_weather(raw: DataFrame) -> DataFrame:
 
 
 def route_reference(valid: DataFrame) -> DataFrame:
-    """One row per route: first and last day, flights, latest lineage."""
-    seen = valid.groupBy("origin_airport", "dest_airport", "route_code").agg(
-        F.min("flight_date").alias("first_seen_flight_date"),
-        F.max("flight_date").alias("last_seen_flight_date"),
-        F.count("*").alias("total_record_count"),
-        F.max("ingestion_timestamp").alias("ingestion_timestamp"),
-        F.max("batch_id").alias("batch_id"),
+    """One row per route: first and last day, flights, latest lineage.
+
+    Counted per route and batch first, where every aggregate has a fixed width and Spark
+    aggregates by hashing; the maximum of the batch names, a text, then only sees those
+    few rows instead of forcing a sort of all flights.
+    """
+    route = ("origin_airport", "dest_airport", "route_code")
+    per_batch = valid.groupBy(*route, "batch_id").agg(
+        F.min("flight_date").alias("first_day"),
+        F.max("flight_date").alias("last_day"),
+        F.count("*").alias("flights"),
+        F.max("ingestion_timestamp").alias("loaded"),
     )
-    return seen.withColumn("route_group", F.concat_ws("_", "origin_airport", "dest_airport"))
+    return per_batch.groupBy(*route).agg(
+        F.min("first_day").alias("first_seen_flight_date"),
+        F.max("last_day").alias("last_seen_flight_date"),
+        F.sum("flights").alias("total_record_count"),
+        F.max("loaded").alias("ingestion_timestamp"),
+        F.max("batch_id").alias("batch_id"),
+    ).withColumn("route_group", F.concat_ws("_", "origin_airport", "dest_airport"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from skyledger.functions import calendar
 from skyledger.functions.measures import LATE_MINUTES, roll_up
 from skyledger.functions.severity import category_severity, composite_severity
 from skyledger.operators.dedup import latest_per_key
-from skyledger.operators.summaries import route_carrier_day
+from skyledger.session import stage_table
 
 # Trailing windows in days, and the tail-number suffix.
 ROUTE_WINDOW_DAYS = 90
@@ -79,20 +80,12 @@ def carrier_trailing(df: DataFrame, days: int = CARRIER_WINDOW_DAYS) -> DataFram
     )
 
 
-def add_trailing(
-    flights: DataFrame,
-    daily: DataFrame | None = None,
-    *,
-    route_days: int = ROUTE_WINDOW_DAYS,
-    carrier_days: int = CARRIER_WINDOW_DAYS,
-) -> DataFrame:
-    """Attach both trailing feature pairs. ``daily`` is a written ``route_carrier_day``
-    table; without it the roll-up is computed from the flights."""
-    daily = route_carrier_day(flights) if daily is None else daily
+def add_trailing(flights: DataFrame, route: DataFrame, carrier: DataFrame) -> DataFrame:
+    """Attach both trailing feature pairs to the flights of their days."""
     return (
         flights
-        .join(route_trailing(daily, route_days), ["route_code", "flight_date"], "left")
-        .join(carrier_trailing(daily, carrier_days), ["reporting_airline", "flight_date"], "left")
+        .join(route, ["route_code", "flight_date"], "left")
+        .join(carrier, ["reporting_airline", "flight_date"], "left")
     )
 
 
@@ -120,16 +113,20 @@ def _join_departure_hour(flights: DataFrame, hours: DataFrame) -> DataFrame:
     return flights.join(hours, at_departure, "left").drop("_station", "_day", "_hour")
 
 
-def add_weather(flights: DataFrame, weather: DataFrame) -> DataFrame:
-    """Weather at the origin in the scheduled hour of departure, and its severity.
-
-    The last report of the hour stands for it, so the join never multiplies flights.
-    """
+def departure_weather(weather: DataFrame) -> DataFrame:
+    """The last report of every station and hour, named as flight features."""
     last_report = latest_per_key(
         _by_hour(weather), ("_station", "_day", "_hour"), ("observation_time",)
     )
     named = [F.col(old).alias(new) for new, old in _WEATHER_COLUMNS.items()]
-    hours = last_report.select("_station", "_day", "_hour", *named)
+    return last_report.select("_station", "_day", "_hour", *named)
+
+
+def add_weather(flights: DataFrame, hours: DataFrame) -> DataFrame:
+    """Weather at the origin in the scheduled hour of departure, and its severity.
+
+    ``hours`` has one row per station and hour, so the join never multiplies flights.
+    """
     return _join_departure_hour(flights, hours).withColumn(
         "origin_weather_severity", category_severity(F.col("origin_flight_category"))
     )
@@ -187,15 +184,44 @@ def delay_label(minutes: Column, threshold: int = LATE_MINUTES) -> Column:
     return F.coalesce(minutes, F.lit(0)) >= threshold
 
 
-def build_features(
-    flights: DataFrame, weather: DataFrame, daily: DataFrame | None = None
-) -> DataFrame:
+class Lookups(NamedTuple):
+    """What is joined to the flights, each with one row per join key.
+
+    A stage writes them before the join (``staged``): Spark then knows their real sizes,
+    broadcasts those below its threshold without shuffling a flight, and sorts and merges
+    the others, splitting hot keys at run time.
+    """
+
+    route: DataFrame
+    carrier: DataFrame
+    hours: DataFrame
+
+    def staged(self) -> Lookups:
+        return Lookups(*[stage_table(df, name) for name, df in self._asdict().items()])
+
+
+def feature_lookups(
+    daily: DataFrame,
+    weather: DataFrame,
+    *,
+    route_days: int = ROUTE_WINDOW_DAYS,
+    carrier_days: int = CARRIER_WINDOW_DAYS,
+) -> Lookups:
+    """Lookups from flights or their ``route_carrier_day`` roll-up, and clean weather."""
+    return Lookups(
+        route_trailing(daily, route_days),
+        carrier_trailing(daily, carrier_days),
+        departure_weather(weather),
+    )
+
+
+def build_features(flights: DataFrame, lookups: Lookups) -> DataFrame:
     """One row per clean flight with every feature and the label."""
     return (
         flights
         .transform(add_temporal)
-        .transform(add_trailing, daily)
+        .transform(add_trailing, lookups.route, lookups.carrier)
         .transform(add_aircraft_code)
-        .transform(add_weather, weather)
+        .transform(add_weather, lookups.hours)
         .withColumn("is_delayed", delay_label(F.col("arrival_delay_minutes")))
     )

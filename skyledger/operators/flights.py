@@ -120,12 +120,12 @@ def classify_flights(
     return latest_per_key(judged, FLIGHT_KEY)
 
 
-def valid_flights(classified: DataFrame) -> DataFrame:
-    """The sound flights, with their punctuality flags."""
+def add_punctuality(classified: DataFrame) -> DataFrame:
+    """The punctuality flags and the status of a sound flight."""
     operated = ~F.col("cancelled_flag")
     arrival = F.coalesce("arrival_delay_minutes", F.lit(0))
     departure = F.coalesce("departure_delay_minutes", F.lit(0))
-    return classified.filter(F.col("quality_issue_reason").isNull()).withColumns({
+    return classified.withColumns({
         "is_delayed_flag": arrival > LATE_MINUTES,
         "is_on_time_arrival_flag": operated & (arrival <= LATE_MINUTES),
         "is_on_time_departure_flag": operated & (departure <= LATE_MINUTES),
@@ -133,6 +133,11 @@ def valid_flights(classified: DataFrame) -> DataFrame:
     })
 
 
+def valid_flights(classified: DataFrame) -> DataFrame:
+    """The sound flights, with their punctuality flags."""
+    return add_punctuality(classified.filter(F.col("quality_issue_reason").isNull()))
+
+
 def quarantined_flights(classified: DataFrame) -> DataFrame:
     """The flights that break a rule; the date is kept as text."""
     return classified.filter(F.col("quality_issue_reason").isNotNull()).withColumn(

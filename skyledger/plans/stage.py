@@ -40,9 +40,7 @@ class RunLog:
             "details": json.dumps(details, sort_keys=True, default=str) if details else None,
             **event,
         }
-        schema = contract(AUDIT_TABLE).schema
-        values = [tuple(row.get(name) for name in schema.names)]
-        version = audit.publish(self.tables.spark.createDataFrame(values, schema).coalesce(1), "append")
+        version = audit.append_rows([tuple(row.get(n) for n in contract(AUDIT_TABLE).schema.names)])
         if len(version.slices) > COMPACT_AT:
             audit.compact()
 

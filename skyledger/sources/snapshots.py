@@ -192,12 +192,17 @@ class SnapshotTable:
         evolve: Sequence[str] = (),
         set_aside: Column | None = None,
         extra: str | None = None,
+        clustered: bool = False,
     ) -> Run:
         """Write files without publishing them.
 
         Columns named in ``evolve`` that the table lacks become part of its schema. Rows
         for which ``set_aside`` holds go to directories of their own in the same pass,
         with the additional columns of ``extra``.
+
+        Rows are gathered by slice before the write: small slices share a task, and a
+        slice with a third of all rows is split over many. ``clustered`` says that a task
+        holds few slices already, as when a file belongs to one batch; the shuffle is saved.
         """
         current = self._at().schema
         added = [f for f in missing_fields(df.schema, current.names) if f.name in set(evolve)]
@@ -216,9 +221,9 @@ class SnapshotTable:
 
         directory = f"data/run={uuid.uuid4().hex}"
         out = f"{self.path}/{directory}"
-        # Rebalancing gathers the rows of a slice into files of the advised size: small
-        # slices share a task, a slice with a third of all rows is split over many.
-        rows.hint("rebalance", "aside", "slice").write.partitionBy("aside", "slice").parquet(out)
+        if not clustered:
+            rows = rows.hint("rebalance", "aside", "slice")
+        rows.write.partitionBy("aside", "slice").parquet(out)
         return self._describe(schema, directory)
 
     def _describe(self, schema: T.StructType, directory: str) -> Run:
@@ -281,6 +286,17 @@ class SnapshotTable:
     ) -> Version:
         return self.publish_run(self.write_run(df, evolve=evolve), mode, replacing=replacing)
 
+    def append_rows(self, rows: Sequence[tuple]) -> Version:
+        """Append a few rows made on the driver, such as log entries, as one file."""
+        head = self._at()
+        frame = self.spark.createDataFrame(list(rows), head.schema).coalesce(1)
+        directory = f"data/run={uuid.uuid4().hex}"
+        frame.write.parquet(f"{self.path}/{directory}")
+        return self._commit(Version(
+            head.number + 1, "append", head.schema,
+            (*head.slices, Slice(None, directory, len(rows))), rows_written=len(rows),
+        ))
+
     def delete_slices(self, values: Iterable[str | None]) -> int:
         """Drop slices (of a table sliced by batch: batches); returns the rows they held."""
         doomed = set(values)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.casting import conform
 from skyledger.contracts import contract
 from skyledger.operators import evaluation, monitoring
-from skyledger.operators.features import add_temporal, add_trailing, delay_label
+from skyledger.operators.features import add_temporal, delay_label, route_trailing
 from skyledger.plans import model
 from skyledger.session import scratch_path, stage_table
 from skyledger.sources.snapshots import Tables
@@ -41,7 +41,9 @@ def baseline_predictions(flights: DataFrame) -> DataFrame:
 
 def _baseline(spark, sf_dir) -> DataFrame:
     flights = stage_table(valid(spark, sf_dir), "clean_flights")
-    return baseline_predictions(add_trailing(flights))
+    return baseline_predictions(
+        flights.join(route_trailing(flights), ["route_code", "flight_date"], "left")
+    )
 
 
 @query

@@ -160,7 +160,8 @@ def aircraft_code(spark, sf_dir):
 
 @query
 def weather_join(spark, sf_dir):
-    joined = features.add_weather(valid(spark, sf_dir), weather(spark, sf_dir))
+    hours = features.departure_weather(weather(spark, sf_dir))
+    joined = features.add_weather(valid(spark, sf_dir), hours)
     return joined.select(*_FLIGHT_ID, *_WEATHER)
 
 
@@ -210,10 +211,11 @@ def station_mapping(spark, sf_dir):
 
 
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature table. The clean flights are written once: three branches read them."""
+    """The feature table, from clean flights and a daily roll-up that are written once."""
     clean = stage_table(valid(spark, sf_dir), "clean_flights")
-    built = features.build_features(clean, weather(spark, sf_dir))
-    return built.select(*columns_of("gold.ml_features"))
+    daily = stage_table(summaries.route_carrier_day(clean), "daily")
+    lookups = features.feature_lookups(daily, weather(spark, sf_dir)).staged()
+    return features.build_features(clean, lookups).select(*columns_of("gold.ml_features"))
 
 
 @query
