@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -196,8 +196,8 @@ class Lookups(NamedTuple):
     carrier: DataFrame
     hours: DataFrame
 
-    def staged(self) -> Lookups:
-        return Lookups(*[stage_table(df, name) for name, df in self._asdict().items()])
+    def staged(self, stage: Callable[[DataFrame, str], DataFrame] = stage_table) -> Lookups:
+        return Lookups(*[stage(df, name) for name, df in self._asdict().items()])
 
 
 def feature_lookups(
@@ -215,11 +215,15 @@ def feature_lookups(
     )
 
 
-def build_features(flights: DataFrame, lookups: Lookups) -> DataFrame:
+def build_features(
+    flights: DataFrame,
+    lookups: Lookups,
+    holidays: Iterable[tuple[int, int]] = calendar.HOLIDAYS,
+) -> DataFrame:
     """One row per clean flight with every feature and the label."""
     return (
         flights
-        .transform(add_temporal)
+        .transform(add_temporal, holidays)
         .transform(add_trailing, lookups.route, lookups.carrier)
         .transform(add_aircraft_code)
         .transform(add_weather, lookups.hours)

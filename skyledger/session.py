@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.sources.storage import Storage
+
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _local_dirs: dict[str, str] = {}
 
 
@@ -63,7 +68,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several consumers need the same expensive result. Unlike a cached
@@ -71,6 +76,31 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     real size when it picks join strategies.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}" if root else scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``stage_table`` whose tables are removed at the end of the block."""
+    root = scratch_path(spark, "scratch")
+    try:
+        yield lambda df, name: stage_table(df, name, root)
+    finally:
+        Storage(spark).remove(root)
+
+
+def fit_shuffles(scan: DataFrame, *, task_bytes: int = 128 << 20, most: int = 100_000) -> int:
+    """Start shuffles with enough partitions for the files of ``scan``.
+
+    Adaptive execution merges small partitions but never adds any, so the number to start
+    from has to grow with the data: one per ``task_bytes`` of Parquet (a few times that
+    in memory, less than a task's share). Never below ``spark.sql.shuffle.partitions``.
+    """
+    spark = scan.sparkSession
+    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    wanted = min(most, -(-int(str(size)) // task_bytes))
+    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set(_INITIAL_PARTITIONS, str(partitions))
+    return partitions

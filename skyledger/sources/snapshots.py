@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from skyledger.contracts import CONTRACTS, Contract, contract
 from skyledger.functions.casting import conform, missing_fields, surrogate_key
 from skyledger.operators.dedup import latest_per_key
-from skyledger.session import stage_table
+from skyledger.session import scratch
 from skyledger.sources.storage import Storage
 
 _NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
@@ -331,7 +331,12 @@ class SnapshotTable:
             raise ValueError(f"table '{self.name}' has no business key")
         if latest is not None:
             df = latest_per_key(df, key, latest)
-        source = stage_table(conform(df, self.schema(), skip=[self.contract.surrogate or ""]), "upsert")
+        with scratch(self.spark) as stage:
+            skip = [self.contract.surrogate or ""]
+            return self._merge(stage(conform(df, self.schema(), skip=skip), "upsert"))
+
+    def _merge(self, source: DataFrame) -> Version:
+        key = self.contract.key
         slice_of = F.expr(self.contract.slice_by).alias("slice")
         keys = source.select(*[F.col(c).alias(f"_new_{c}") for c in key])
         same = [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in key]
@@ -339,16 +344,15 @@ class SnapshotTable:
             touched_rows = source.select(slice_of)
         else:
             touched_rows = self.read().join(keys, same, "left_semi").select(slice_of)
-        touched = [row["slice"] for row in touched_rows.distinct().collect()]
+        touched = {row["slice"] for row in touched_rows.distinct().collect()}
         kept = self.read(slices=touched).join(keys, same, "left_anti")
-        merged = kept.unionByName(source, allowMissingColumns=True)
-        # An untouched slice may receive new keys only: its old files stay next to the new ones.
-        run = self.write_run(merged)
+        run = self.write_run(kept.unionByName(source, allowMissingColumns=True))
+        # A slice without a matched key may still receive new rows: its old files stay.
         head = self._at()
-        gone = [s for s in head.slices if s.value in set(touched)]
+        gone = [s for s in head.slices if s.value in touched]
         return self._commit(Version(
             head.number + 1, "upsert", run.schema,
-            (*[s for s in head.slices if s not in gone], *run.slices),
+            (*[s for s in head.slices if s.value not in touched], *run.slices),
             rows_written=sum(s.rows for s in run.slices), rows_removed=sum(s.rows for s in gone),
         ))
 

@@ -67,3 +67,8 @@ class Storage:
             stream.write(bytearray(text.encode("utf-8")))
         finally:
             stream.close()
+
+    def remove(self, directory: str) -> None:
+        """Delete a directory and what is in it, if it exists."""
+        path, fs = self._open(directory)
+        fs.delete(path, True)

@@ -11,7 +11,7 @@ from skyledger.contracts import contract
 from skyledger.functions.severity import category_severity, composite_severity
 from skyledger.operators import dimensions, features, flights, summaries
 from skyledger.operators.dedup import latest_per_key
-from skyledger.session import prepare, stage_table
+from skyledger.session import fit_shuffles, prepare, stage_table
 from skyledger.workloads import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,12 @@ _WEATHER = ("origin_temp_c", "origin_wind_speed_kt", "origin_wind_gust_kt", "ori
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(prepare(spark), sf_dir)
+    """Register a query; it runs with the settings of the jobs and shuffles that fit."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fit_shuffles(adapters.load(prepare(spark), sf_dir, "lineitem"))
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
