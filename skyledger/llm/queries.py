@@ -25,12 +25,12 @@ _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 _NEAR_DUPLICATES = f"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), {_ASCII}), '[\\x20\\x09-\\x0D]+'),
-                             x -> x <> '') AS ws
+  SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), {_ASCII}), '[\\x20\\x09-\\x0D]+')
+                  if x <> ''] AS ws
   FROM documents
 ), s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) END AS sh
+    ELSE list_distinct([array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)]) END AS sh
   FROM w
 ), e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS v FROM s),
 links AS (
@@ -74,12 +74,12 @@ FROM c GROUP BY conv_id
 
 _HAMMING = f"""
 WITH c AS (
-  SELECT vec_id, list_transform(range(1, 65), i -> coalesce(embedding[i] > 0, false)) AS bits
+  SELECT vec_id, [coalesce(embedding[i] > 0, false) for i in range(1, 65)] AS bits
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL)) = 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL]) = 0
 ), d AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    list_sum(list_transform(range(1, 65), i -> (q.bits[i] <> c.bits[i])::INTEGER))::INTEGER AS distance
+    list_sum([(q.bits[i] <> c.bits[i])::INTEGER for i in range(1, 65)])::INTEGER AS distance
   FROM c q JOIN c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, distance FROM (

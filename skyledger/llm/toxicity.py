@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructType
 
 from skyledger.llm.common import table, top_by
 from skyledger.session import stage_table
@@ -333,7 +333,7 @@ def score(documents: DataFrame, model: ToxicityModel, *, text: str = "text") ->
             found = [counter.counts(t) for t in batch.column(kept.index(text)).to_pylist()]
             yield _scored(batch, model, [sorted(c) for c in found], [[c[t] for t in sorted(c)] for c in found])
 
-    schema = rows.schema.add("score", "double").add("predicted", "integer")
+    schema = StructType(list(rows.schema.fields)).add("score", "double").add("predicted", "integer")
     return rows.mapInArrow(run, schema.add("evidence", DataType.fromDDL(_EVIDENCE)))
 
 
