@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterable
 # Where a space may not start a piece: a run of white space, or a character that only some
 # of the libraries count as white space.
 _ODD = re.compile(
-    r"[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]"
+    r"[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
     r"|  | \n| \Z"
 )
 

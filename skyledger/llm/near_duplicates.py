@@ -163,15 +163,17 @@ def _postings(sets: DataFrame, percent: int, k: int) -> DataFrame:
     that no other set has."""
     # A set of n can only be like another one if n / (n + 1) reaches the threshold.
     least = math.ceil(percent / (100 - percent)) if percent < 100 else 1 << 62
-    entries = sets.where(F.col("n_shingles") >= least).select(
-        F.col("row").alias("rep"), "n_shingles", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
+    large = sets.where(F.col("n_shingles") >= least)
+    entries = large.select(F.col("row").alias("rep"), F.explode("sketch").alias("value"))
     lists = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    shared = entries.join(lists, "value")
+    # The shared values grow with the corpus: never broadcast, whatever they are estimated at.
+    shared = entries.join(lists.hint("merge"), "value")
+    sizes = large.select(F.col("row").alias("rep"), "n_shingles", F.size("sketch").alias("size"))
     small = F.col("n_shingles") * 100 <= percent * k
     need = F.when(small, F.ceil(F.col("n_shingles") * percent / 100)).otherwise(least_shared(k, percent))
     by_rep = Window.partitionBy("rep")
     own = F.col("size") - F.count("*").over(by_rep)
-    ranked = shared.select(
+    ranked = shared.join(sizes.hint("merge"), "rep").select(
         "value", "rep", (own / F.col("size")).alias("own"), (F.col("size") - need + 1 - own).alias("wanted"),
         F.row_number().over(by_rep.orderBy("df", "value")).alias("rank"),
     )
