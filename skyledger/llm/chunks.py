@@ -18,7 +18,7 @@ _ODD = re.compile(
     r"|  | \n| \Z"
 )
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000
 CACHED_CHARS = 48
 
 
@@ -42,21 +42,26 @@ _SAFE = re.compile("(?<=[!-~])(?= [!-~])")
 
 class PieceCache:
     """Encodes texts piece by piece. ``encode_new`` gets pieces that are not known yet and
-    returns their values; ``CACHE_ENTRIES`` bounds the memory, not the result."""
+    returns their values; ``CACHE_ENTRIES`` bounds the memory, not the result. When the cache is
+    full it becomes the old one: pieces still in use move on, the others go with it."""
 
     def __init__(self, encode_new: Callable[[list[str]], Iterable]):
         self._encode_new = encode_new
         self._known: dict[str, object] = {}
+        self._old: dict[str, object] = {}
 
     def lookup(self, texts: list[str | None]) -> list[list]:
         """The values of the pieces of each text; a null text has none."""
         if len(self._known) > CACHE_ENTRIES:
-            self._known.clear()
+            self._known, self._old = {}, self._known
         cut = [pieces(text) if text else [] for text in texts]
-        known = self._known
-        new = list({piece for one in cut for piece in one if piece not in known})
-        fresh = dict(zip(new, self._encode_new(new))) if new else {}
-        known.update(fresh)
+        known, old = self._known, self._old
+        unknown = set().union(*cut).difference(known)
+        moved = {piece: old[piece] for piece in unknown if piece in old} if old else {}
+        known.update(moved)
+        new = list(unknown.difference(moved))
+        if new:
+            known.update(zip(new, self._encode_new(new)))
         found = [list(map(known.__getitem__, one)) for one in cut]
         for piece in new:
             if len(piece) > CACHED_CHARS:

@@ -87,7 +87,8 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         ])).alias("at")).select("query", "reach", "at.segment", "at.own")
         probe = probe.withColumn("mask", F.explode(_masks(masks))).select(
             "query", "reach", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
-        hits = probe.join(index, ["segment", "value"]).where(distance(F.col("query"), F.col("code")) <= F.col("reach"))
+        # The probes of a round are many more than their source lets Spark guess: never broadcast.
+        hits = probe.hint("merge").join(index.hint("merge"), ["segment", "value"]).where(distance(F.col("query"), F.col("code")) <= F.col("reach"))
         new = hits.select("query", F.struct(distance(F.col("query"), F.col("code")).alias("distance"), "code",
                                             "size").alias("hit")).distinct()
         old = open_.select("query", F.explode("found").alias("hit"))
