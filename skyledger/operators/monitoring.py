@@ -65,7 +65,7 @@ def numeric_drift(
     shares = _shares(df, current, {name: bin_of(name) for name in features})
     p = F.greatest("p", F.lit(SMALLEST_SHARE))
     q = F.greatest("q", F.lit(SMALLEST_SHARE))
-    index = F.round(F.sum((q - p) * F.ln(q / p)), 6)
+    index = F.round(_sum((q - p) * F.ln(q / p)), 6)
     return shares.groupBy("feature").agg(index.alias("distance")).select(
         "feature", F.lit("psi").alias("measure"), "distance",
         (F.col("distance") > limit).alias("drifted"),
@@ -77,17 +77,29 @@ def categorical_drift(
 ) -> DataFrame:
     """Total variation distance per feature: half the sum of share differences."""
     shares = _shares(df, current, {name: F.col(name) for name in features})
-    distance = F.round(F.sum(F.abs(F.col("q") - F.col("p"))) / 2, 6)
+    distance = F.round(_sum(F.abs(F.col("q") - F.col("p"))) / 2, 6)
     return shares.groupBy("feature").agg(distance.alias("distance")).select(
         "feature", F.lit("variation").alias("measure"), "distance",
         (F.col("distance") > limit).alias("drifted"),
     )
 
 
+def _mean(value: Column) -> Column:
+    """The mean of a share, exact to its ninth decimal: the sum is of integers, so its order
+    does not matter."""
+    billionths = F.sum(F.floor(value * 1_000_000_000).cast("bigint"))
+    return F.try_divide(billionths.cast("double"), (F.count(value) * 1_000_000_000).cast("double"))
+
+
+def _sum(value: Column) -> Column:
+    """A sum of doubles in integers of 1e-12, whatever the order."""
+    return F.sum(F.round(value * 1e12).cast("bigint")) / 1e12
+
+
 def _prediction_summary(predictions: DataFrame, key: str) -> DataFrame:
     return predictions.groupBy(key).agg(
         F.count("*").alias("flights"),
-        F.round(F.avg(PROBABILITY), 6).alias("avg_delay_probability"),
+        _mean(F.col(PROBABILITY)).alias("avg_delay_probability"),
         F.count_if(PREDICTED).alias("predicted_delayed_flights"),
     )
 
@@ -105,8 +117,9 @@ def retrain_decision(
 ) -> DataFrame:
     """One row: accuracy of the predictions whose label is known by now, and whether it
     calls for a new training run."""
-    known = labels.select(*FLIGHT_KEY, LABEL)
-    judged = predictions.select(*FLIGHT_KEY, PREDICTED).join(known, list(FLIGHT_KEY))
+    known = labels.select(*[F.col(c).alias(f"_{c}") for c in FLIGHT_KEY], LABEL)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FLIGHT_KEY]  # a carrier may be unknown
+    judged = predictions.select(*FLIGHT_KEY, PREDICTED).join(known, same)
     counted = judged.agg(
         F.count("*").alias("evaluated"),
         F.count_if(F.col(PREDICTED) == F.col(LABEL)).alias("correct"),

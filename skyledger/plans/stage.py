@@ -11,10 +11,9 @@ from datetime import datetime, timezone
 from typing import Any
 
 from skyledger.contracts import contract
-from skyledger.sources.snapshots import SnapshotTable, Tables
+from skyledger.sources.snapshots import CommitConflict, SnapshotTable, Tables
 
 AUDIT_TABLE = "audit.pipeline_run_log"
-COMPACT_AT = 256  # directories the log may consist of before they are merged
 
 
 def new_run_id() -> str:
@@ -40,9 +39,13 @@ class RunLog:
             "details": json.dumps(details, sort_keys=True, default=str) if details else None,
             **event,
         }
-        version = audit.append_rows([tuple(row.get(n) for n in contract(AUDIT_TABLE).schema.names)])
-        if len(version.slices) > COMPACT_AT:
-            audit.compact()
+        entry = tuple(row.get(n) for n in contract(AUDIT_TABLE).schema.names)
+        while True:
+            try:
+                audit.append_rows([entry])
+                return
+            except CommitConflict:  # another job logged in between
+                continue
 
 
 @dataclass

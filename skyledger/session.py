@@ -91,7 +91,7 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
         Storage(spark).remove(root)
 
 
-def fit_shuffles(scan: DataFrame, *, task_bytes: int = 128 << 20, most: int = 100_000) -> int:
+def fit_shuffles(scan: DataFrame, *, task_bytes: int = 128 << 20) -> int:
     """Start shuffles with enough partitions for the files of ``scan``.
 
     Adaptive execution merges small partitions but never adds any, so the number to start
@@ -100,7 +100,7 @@ def fit_shuffles(scan: DataFrame, *, task_bytes: int = 128 << 20, most: int = 10
     """
     spark = scan.sparkSession
     size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    wanted = min(most, -(-int(str(size)) // task_bytes))
+    wanted = -(-int(str(size)) // task_bytes)
     partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set(_INITIAL_PARTITIONS, str(partitions))
     return partitions

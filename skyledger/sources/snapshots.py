@@ -1,6 +1,6 @@
 """Versioned tables: Parquet files plus one small JSON document per version.
 
-Every write goes to a directory of its own, ``data/run=<id>/slice=<value>``. A version
+Every write goes to a directory of its own, ``data/run=<id>/snapshot__slice=<value>``. A version
 lists the directories that make up the table; publishing creates the document of the next
 version and fails if it exists. A failed write leaves files no version refers to, a
 rerun replaces only the slices it contains, and restoring is publishing an old list again.
@@ -39,6 +39,10 @@ class MissingTable(LookupError):
     """The table was never created."""
 
 
+# Partition columns of the written files: not names that data has.
+_LANE, _SLICE = "snapshot__lane", "snapshot__slice"
+
+
 class CommitConflict(RuntimeError):
     """Another writer has published the version."""
 
@@ -216,14 +220,14 @@ class SnapshotTable:
         kept_aside = T.StructType(written.fields + [T.StructField("_aside", T.IntegerType())])
         if target.surrogate:
             rows = rows.withColumn(target.surrogate, surrogate_key(target.key))
-        rows = conform(rows, kept_aside).withColumnRenamed("_aside", "aside")
-        rows = rows.withColumn("slice", F.expr(target.slice_by))
+        rows = conform(rows, kept_aside).withColumnRenamed("_aside", _LANE)
+        rows = rows.withColumn(_SLICE, F.expr(target.slice_by))
 
         directory = f"data/run={uuid.uuid4().hex}"
         out = f"{self.path}/{directory}"
         if not clustered:
-            rows = rows.hint("rebalance", "aside", "slice")
-        rows.write.partitionBy("aside", "slice").parquet(out)
+            rows = rows.hint("rebalance", _LANE, _SLICE)
+        rows.write.partitionBy(_LANE, _SLICE).parquet(out)
         return self._describe(schema, directory)
 
     def _describe(self, schema: T.StructType, directory: str) -> Run:
@@ -233,20 +237,20 @@ class SnapshotTable:
         """
         out = f"{self.path}/{directory}"
         lanes: dict[str, list[Slice]] = {"0": [], "1": []}
-        layout = T.StructType.fromDDL("aside STRING, slice STRING")
+        layout = T.StructType.fromDDL(f"{_LANE} STRING, {_SLICE} STRING")
         counts = {
-            (row["aside"], row["slice"]): row["count"]
+            (row[_LANE], row[_SLICE]): row["count"]
             for row in self.spark.read.schema(T.StructType(schema.fields + layout.fields))
-            .parquet(out).groupBy("aside", "slice").count().collect()
+            .parquet(out).groupBy(_LANE, _SLICE).count().collect()
         }
         for lane in lanes:
-            for name in self._storage.names(f"{out}/aside={lane}"):
-                if not name.startswith("slice="):
+            for name in self._storage.names(f"{out}/{_LANE}={lane}"):
+                if not name.startswith(f"{_SLICE}="):
                     continue
-                text = name.removeprefix("slice=")
+                text = name.removeprefix(f"{_SLICE}=")
                 value = None if text == _NULL_DIRECTORY else unquote(text)
                 lanes[lane].append(
-                    Slice(value, f"{directory}/aside={lane}/{name}", counts.get((lane, value), 0))
+                    Slice(value, f"{directory}/{_LANE}={lane}/{name}", counts.get((lane, value), 0))
                 )
         values = frozenset(s.value for lane in lanes.values() for s in lane)
         return Run(schema, tuple(lanes["0"]), tuple(lanes["1"]), values)
@@ -324,13 +328,14 @@ class SnapshotTable:
 
         Only slices that hold a matched key are rewritten. Where the slice follows from
         the key these are the slices of the source; elsewhere a semi-join finds them.
-        ``latest`` picks the survivor among source rows of one key.
+        Of several source rows with one key the one with the highest ``latest`` stays, then
+        the one with the highest other values.
         """
         key = self.contract.key
         if not key:
             raise ValueError(f"table '{self.name}' has no business key")
-        if latest is not None:
-            df = latest_per_key(df, key, latest)
+        others = [c for c, kind in df.dtypes if c not in key and "map<" not in kind]
+        df = latest_per_key(df, key, [*(latest or ()), *others])
         with scratch(self.spark) as stage:
             skip = [self.contract.surrogate or ""]
             return self._merge(stage(conform(df, self.schema(), skip=skip), "upsert"))

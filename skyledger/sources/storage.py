@@ -24,19 +24,25 @@ class Storage:
         return sorted(status.getPath().getName() for status in fs.listStatus(path))
 
     def files(self, location: str, suffix: str = "") -> list[str]:
-        """Paths of the visible files at a file, directory or glob."""
+        """Paths of the visible files at a file, directory or glob, in ``key=value`` folders too."""
         path, fs = self._open(location)
         found = []
-        for status in fs.globStatus(path) or []:
-            inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
-            for item in inside:
-                name = item.getPath().getName()
-                if item.isFile() and not name.startswith(("_", ".")) and name.endswith(suffix):
-                    found.append(item.getPath().toString())
+        waiting = [(status, True) for status in fs.globStatus(path) or []]
+        while waiting:
+            status, top = waiting.pop()
+            name = status.getPath().getName()
+            if not top and (name.startswith(".") or (name.startswith("_") and "=" not in name)):
+                continue
+            if status.isDirectory():
+                if top or "=" in name:
+                    waiting += [(item, False) for item in fs.listStatus(status.getPath())]
+            elif name.endswith(suffix):
+                found.append(status.getPath().toString())
         return sorted(found)
 
     def first_line(self, location: str) -> str | None:
-        """The first line of a text file, decompressed if its name says so."""
+        """The first line of a text file that is not blank, decompressed if its name says so;
+        None if there is none."""
         path, fs = self._open(location)
         stream = fs.open(path)
         try:
@@ -47,7 +53,10 @@ class Storage:
             reader = self._jvm.java.io.BufferedReader(
                 self._jvm.java.io.InputStreamReader(content, "UTF-8")
             )
-            return reader.readLine()
+            line = reader.readLine()
+            while line is not None and not line.strip().removeprefix("\ufeff"):
+                line = reader.readLine()
+            return line
         finally:
             stream.close()
 

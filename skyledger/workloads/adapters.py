@@ -113,8 +113,7 @@ _HASH = ("md5(concat_ws('#', raw_record, cast(c_nationkey as string),"
 
 def ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flight operations: one per line item, from its supplier's to its customer's nation."""
-    # Orders grow with the line items: sort-merge at every size, never a broadcast.
-    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     joined = (
         load(spark, sf_dir, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
