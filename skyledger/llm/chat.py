@@ -63,12 +63,10 @@ def reply_paths(messages: DataFrame, keep: int | None = 1) -> DataFrame:
         low = levels[-1]
         high = low.select(F.col("tree").alias("t"), F.col("id").alias("i"), F.col("up").alias("u"),
                           F.col("score").alias("s"))
-        levels.append(stage_table(
-            low.join(high, _same("tree", "t", "up", "i"), "left").select(
-                "tree", "id", F.col("u").alias("up"), (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score")
-            ),
-            "ancestors",
-        ))
+        # Only messages deeper than the steps so far go on; one deep tree costs the others nothing.
+        further = low.where("up is not null").join(high, _same("tree", "t", "up", "i"), "left").select(
+            "tree", "id", F.col("u").alias("up"), (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score"))
+        levels.append(stage_table(further.unionByName(low.where("up is null")), "ancestors"))
     parents = nodes.where("up is not null").select(F.col("tree").alias("t"), F.col("up").alias("i")).distinct()
     leaves = levels[-1].where("up is null").join(parents, _same("tree", "t", "id", "i"), "left_anti")
     if keep is not None:
