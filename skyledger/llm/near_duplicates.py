@@ -222,11 +222,15 @@ def near_duplicates(documents: DataFrame, *, percent: int = 85, words: int = WOR
     Sets are linked if 100 * intersection >= percent * union."""
     sets = stage_table(shingle_sets(documents, words, k), "sets")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    # The sketch comes with the representative: an aggregate moves the same bytes at every size, a join
+    # back to the sets would be broadcast while small and move all of them later.
     reps = stage_table(
-        sets.where("set_key is not null").groupBy("set_key").agg(F.min("row").alias("rep"), F.min(place).alias("least")),
+        sets.where("set_key is not null").groupBy("set_key").agg(
+            F.min("row").alias("rep"), F.min(place).alias("least"), F.min_by("sketch", "row").alias("sketch"),
+            F.min("n_shingles").alias("n_shingles")),
         "representatives",
     )
-    single = sets.join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
+    single = reps.select(F.col("rep").alias("row"), "n_shingles", "sketch")
     postings = stage_table(_postings(single, percent, k), "postings")
     pivots = postings.groupBy("value").agg(F.min(F.struct("own", "rep")).alias("p"))
     stars = stage_table(
@@ -235,7 +239,7 @@ def near_duplicates(documents: DataFrame, *, percent: int = 85, words: int = WOR
     )
     touched = stars.select("rep").unionByName(stars.select(F.col("pivot").alias("rep"))).distinct()
     wanted = stage_table(
-        sets.join(touched, sets["row"] == touched["rep"]).select("rep", "set_key", "doc_id"), "wanted")
+        reps.join(touched.hint("merge"), "rep").select("rep", "set_key", F.col("least.doc_id").alias("doc_id")), "wanted")
     ids = wanted.select(F.col("doc_id").alias("id")).distinct()
     again = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
@@ -288,7 +292,8 @@ def _rest_links(checked: DataFrame, full: DataFrame, percent: int, k: int) -> Da
         & (F.least(F.size(a), F.size(b)) * 100 >= F.greatest(F.size(a), F.size(b)) * percent)
         & _may_link(F.slice(a, 1, k), F.slice(b, 1, k), percent, k) & _linked(a, b, percent)
     )
-    return left.join(right, on).select("a", "b").distinct()
+    # Both sides hold full sets and grow with the corpus: the same join at every size.
+    return left.join(right.hint("merge"), on).select("a", "b").distinct()
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
