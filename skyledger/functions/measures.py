@@ -18,6 +18,13 @@ LATE_MINUTES = 15
 
 CAUSES = ("weather", "carrier", "nas", "security", "late_aircraft")
 
+# What the measures are taken from.
+INPUTS = (
+    "departure_delay_minutes", "arrival_delay_minutes", "cancelled_flag", "diverted_flag",
+    "is_on_time_departure_flag", "is_on_time_arrival_flag",
+    *[f"{cause}_delay_minutes" for cause in CAUSES],
+)
+
 
 def _one_if(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)

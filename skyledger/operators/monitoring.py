@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.operators.evaluation import LABEL, PREDICTED, PROBABILITY
@@ -18,7 +18,7 @@ def _shares(df: DataFrame, current: Column, bins: Mapping[str, Column]) -> DataF
     """Per feature and bin: the share of the reference rows and of the current rows.
 
     All features in one scan; the rows are unfolded per feature but counted before the
-    shuffle, which carries one row per task, feature and bin.
+    shuffle, which carries one row per task, feature and bin. The window runs over the bins.
     """
     flagged = df.select(current.alias("_current"), *[c.cast("string").alias(n) for n, c in bins.items()])
     counted = (
@@ -26,27 +26,19 @@ def _shares(df: DataFrame, current: Column, bins: Mapping[str, Column]) -> DataF
         .groupBy("feature", "bin")
         .agg(F.count_if(~F.col("_current")).alias("before"), F.count_if("_current").alias("now"))
     )
-    totals = counted.groupBy("feature").agg(
-        F.sum("before").alias("all_before"), F.sum("now").alias("all_now")
-    )
-    return counted.join(totals, "feature").select(
+    whole = Window.partitionBy("feature")
+    return counted.select(
         "feature", "bin",
-        F.try_divide("before", "all_before").alias("p"),
-        F.try_divide("now", "all_now").alias("q"),
+        F.try_divide("before", F.sum("before").over(whole)).alias("p"),
+        F.try_divide("now", F.sum("now").over(whole)).alias("q"),
     )
 
 
-def numeric_drift(
-    df: DataFrame, current: Column, features: Sequence[str], *, bins: int = 10,
-    limit: float = DRIFT_LIMIT,
-) -> DataFrame:
-    """Population stability index per feature.
-
-    ``current`` tells current rows from reference rows. Bins are of equal width over the
-    range of the reference; values beyond it fall in the outer bins, NULL in its own.
-    """
-    reference = df.filter(~current)
-    ends = reference.agg(*[
+def _equal_bins(df: DataFrame, features: Sequence[str], bins: int) -> dict[str, Column]:
+    """The bin of each feature, of equal width over the range it has in ``df``."""
+    if not features:
+        return {}
+    ends = df.agg(*[
         end for name in features
         for end in (F.min(F.col(name).cast("double")).alias(f"low_{name}"),
                     F.max(F.col(name).cast("double")).alias(f"high_{name}"))
@@ -62,26 +54,44 @@ def numeric_drift(
             F.greatest(F.lit(0), F.least(F.lit(bins - 1), place))
         )
 
-    shares = _shares(df, current, {name: bin_of(name) for name in features})
+    return {name: bin_of(name) for name in features}
+
+
+def drift(
+    df: DataFrame, current: Column, numbers: Sequence[str] = (), texts: Sequence[str] = (), *,
+    bins: int = 10, limit: float = DRIFT_LIMIT,
+) -> DataFrame:
+    """One row per feature: the population stability index of a number, the total variation
+    distance (half the sum of share differences) of a text.
+
+    ``current`` tells current rows from reference rows. Bins are of equal width over the
+    range of the reference; values beyond it fall in the outer bins, NULL in its own. Two
+    passes over the rows: the ranges of the numbers, and the counts of all features.
+    """
+    binned = _equal_bins(df.filter(~current), numbers, bins)
+    shares = _shares(df, current, {**binned, **{name: F.col(name) for name in texts}})
+    is_number = F.col("feature").isin(list(numbers))
     p = F.greatest("p", F.lit(SMALLEST_SHARE))
     q = F.greatest("q", F.lit(SMALLEST_SHARE))
-    index = F.round(_sum((q - p) * F.ln(q / p)), 6)
-    return shares.groupBy("feature").agg(index.alias("distance")).select(
-        "feature", F.lit("psi").alias("measure"), "distance",
-        (F.col("distance") > limit).alias("drifted"),
-    )
+    step = F.when(is_number, (q - p) * F.ln(q / p)).otherwise(F.abs(F.col("q") - F.col("p")))
+    return shares.groupBy("feature").agg(_sum(step).alias("total")).select(
+        "feature",
+        F.when(is_number, "psi").otherwise("variation").alias("measure"),
+        F.round(F.when(is_number, F.col("total")).otherwise(F.col("total") / 2), 6).alias("distance"),
+    ).withColumn("drifted", F.col("distance") > limit)
+
+
+def numeric_drift(
+    df: DataFrame, current: Column, features: Sequence[str], *, bins: int = 10,
+    limit: float = DRIFT_LIMIT,
+) -> DataFrame:
+    return drift(df, current, numbers=features, bins=bins, limit=limit)
 
 
 def categorical_drift(
     df: DataFrame, current: Column, features: Sequence[str], *, limit: float = DRIFT_LIMIT
 ) -> DataFrame:
-    """Total variation distance per feature: half the sum of share differences."""
-    shares = _shares(df, current, {name: F.col(name) for name in features})
-    distance = F.round(_sum(F.abs(F.col("q") - F.col("p"))) / 2, 6)
-    return shares.groupBy("feature").agg(distance.alias("distance")).select(
-        "feature", F.lit("variation").alias("measure"), "distance",
-        (F.col("distance") > limit).alias("drifted"),
-    )
+    return drift(df, current, texts=features, limit=limit)
 
 
 def _mean(value: Column) -> Column:

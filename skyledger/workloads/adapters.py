@@ -67,7 +67,11 @@ _OPS = {
         "case when l_returnflag = 'R' or l_partkey % 131 = 6 then null else"
         " cast(((l_partkey * 5 + l_linenumber + 1) % 24) * 100 + (l_partkey + 11) % 60 as string) end"
     ),
-    "arr_delay_minutes": "case when l_returnflag = 'R' then null else l_quantity - 20 end",
+    # Later hours and carriers of higher number are late more often: a model can learn it.
+    "arr_delay_minutes": (
+        "case when l_returnflag = 'R' then null"
+        " else l_quantity + (l_partkey % 25) * 2 + (l_suppkey % 12) * 3 - 70 end"
+    ),
     "cancelled": (
         "case when l_partkey % 137 = 8 then null when l_returnflag = 'R' then 1 else 0 end"
     ),

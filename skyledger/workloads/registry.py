@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.contracts import contract
+from skyledger.functions.measures import INPUTS
 from skyledger.functions.severity import category_severity, composite_severity
 from skyledger.operators import dimensions, features, flights, summaries
 from skyledger.operators.dedup import latest_per_key
@@ -215,9 +216,15 @@ def station_mapping(spark, sf_dir):
     return mapped.groupBy("station_id", "observation_date").agg(F.count("*").alias("reports"))
 
 
+_FEATURE_INPUT = (
+    *_FLIGHT_ID, "route_code", "tail_number", "scheduled_departure_ts", "distance_miles",
+    "ingestion_timestamp", "batch_id", "year_month", *INPUTS,
+)
+
+
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table, from clean flights and a daily roll-up that are written once."""
-    clean = stage_table(valid(spark, sf_dir), "clean_flights")
+    clean = stage_table(valid(spark, sf_dir).select(*_FEATURE_INPUT), "clean_flights")
     daily = stage_table(summaries.route_carrier_day(clean), "daily")
     lookups = features.feature_lookups(daily, weather(spark, sf_dir)).staged()
     return features.build_features(clean, lookups).select(*columns_of("gold.ml_features"))

@@ -143,6 +143,14 @@ def delete_batch(spark, sf_dir):
     return table.read()
 
 
+@query
+def append_batches(spark, sf_dir):
+    orders, table = _orders(spark, sf_dir), _tables(spark, ORDERS).table(ORDERS.name)
+    table.publish(orders.filter("o_orderstatus = 'F'"), "append")
+    table.publish(orders.filter("o_orderstatus <> 'F'"), "append")
+    return table.read()
+
+
 @query
 def append_and_compact(spark, sf_dir):
     orders, table = _orders(spark, sf_dir), _tables(spark, ORDERS).table(ORDERS.name)
@@ -166,12 +174,16 @@ def evolve_schema(spark, sf_dir):
 
 @query
 def upsert(spark, sf_dir):
-    """Customers of one segment move to another one, and every customer gets a twin."""
+    """Customers of one segment move to another one, and every customer gets a twin, which comes
+    with an outdated version, and a row without a key. The second run finds all of it there."""
     customers, table = load(spark, sf_dir, "customer"), _tables(spark, CUSTOMERS).table(CUSTOMERS.name)
     table.publish(customers, "overwrite")
     moved = customers.filter("c_mktsegment = 'BUILDING'").withColumn("c_mktsegment", F.lit("MACHINERY"))
     twins = customers.withColumn("c_custkey", -1 - F.col("c_custkey"))
-    table.upsert(moved.unionByName(twins))
+    outdated = twins.withColumn("c_acctbal", F.col("c_acctbal") - 1)
+    nameless = customers.withColumn("c_custkey", F.lit(None).cast("bigint"))
+    for _ in range(2):
+        table.upsert(moved.unionByName(twins).unionByName(outdated).unionByName(nameless), latest=["c_acctbal"])
     return table.read().drop("customer_key")
 
 
