@@ -1,19 +1,18 @@
 """Toxicity scores from the nearest labelled examples.
 
-Terms are words and word beginnings. A bounded vocabulary is taken from a bounded sample of
-labelled documents (``EXAMPLES`` a class, chosen by a hash of the id): the terms that separate the
-classes best. Document frequencies of the vocabulary are counted over all documents. Each
-text becomes a TF-IDF vector over it, and its nearest examples are found exactly, by cosine, in
-an inverted index in blocks: per term and block the index knows the largest weight, the sum of
-these over a text's terms bounds every example of the block, and blocks are read from the highest
-bound down until none can hold a neighbour any more.
+Terms are words and word beginnings. All terms of a bounded sample of labelled documents
+(``EXAMPLES`` a class, chosen by a hash of the id) are indexed; document frequencies are counted
+over all documents. A term weighs by its inverse document frequency, times how far apart its shares
+of toxic and of other examples are (the logarithm of their ratio, smoothed, plus ``LEAST_WEIGHT``):
+a term that says little weighs little, none is dropped. Each text becomes a vector of all these
+terms, and its nearest examples are found exactly, by cosine, in an inverted index.
 
 Neighbours vote with the square of their similarity, each class weighted by its share of all
 training labels; the vote is calibrated by a logistic curve fitted on votes of the examples
 without themselves. All examples as near as the k-th count, so ties do not matter. The nearest
 are returned as evidence.
 
-The model is as large as its parameters allow (examples times terms), whatever the corpus.
+The model is as large as the examples and their terms, whatever the corpus.
 Defined cases: a null or empty text, or one without a known term, is nearest to the examples
 without any; without examples of both classes the score is the share of toxic labels (0 without
 labels) and there is no evidence; labels that are null, or name no document, teach nothing; of
@@ -23,6 +22,7 @@ empty table gives an empty result; columns of the input called like a result col
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -38,10 +38,8 @@ from skyledger.llm.common import table, top_by
 from skyledger.session import stage_table
 
 EXAMPLES = 3000
-VOCABULARY = 512
 NEIGHBOURS = 25
-LEAST_EXAMPLES = 6
-BLOCK = 64
+LEAST_WEIGHT = 0.1
 _BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHED = 300_000
@@ -69,20 +67,26 @@ class TermCounter:
         self.index = {term: i for i, term in enumerate(vocabulary)}
         self._known: dict[str, tuple[int, ...]] = {}
 
-    def counts(self, text: str | None) -> Counter:
-        known, found = self._known, Counter()
-        if len(known) > _CACHED:
-            known.clear()
-        for chunk in (text or "").split():
-            ids = known.get(chunk)
-            if ids is None:
-                ids = tuple(self.index[t] for t in terms_of(chunk) if t in self.index)
-                if len(chunk) <= 48:
-                    known[chunk] = ids
-            if ids:
-                found.update(ids)
+    def _ids(self, chunk: str) -> tuple[int, ...]:
+        ids = self._known.get(chunk)
+        if ids is None:
+            if len(self._known) > _CACHED:
+                self._known.clear()
+            ids = tuple(self.index[t] for t in terms_of(chunk) if t in self.index)
+            if len(chunk) <= 48:
+                self._known[chunk] = ids
+        return ids
+
+    def counts(self, text: str | None) -> dict[int, int]:
+        found: dict[int, int] = {}
+        for chunk, n in Counter((text or "").split()).items():
+            for t in self._ids(chunk):
+                found[t] = found.get(t, 0) + n
         return found
 
+    def terms(self, text: str | None) -> set[int]:
+        return {t for chunk in set((text or "").split()) for t in self._ids(chunk)}
+
 
 def term_vectors(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
     """doc_id and the counts of vocabulary terms of each whole text."""
@@ -90,19 +94,45 @@ def term_vectors(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TermCounter(vocabulary)
         for batch in batches:
-            found = [counter.counts(text) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([sorted(c) for c in found], pa.list_(pa.int32())),
-                 pa.array([[c[t] for t in sorted(c)] for c in found], pa.list_(pa.int32()))],
-                names=["doc_id", "terms", "counts"],
-            )
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                found = [counter.counts(text) for text in some.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array([sorted(c) for c in found], pa.list_(pa.int32())),
+                     pa.array([[c[t] for t in sorted(c)] for c in found], pa.list_(pa.int32()))],
+                    names=["doc_id", "terms", "counts"],
+                )
 
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id long, terms array<int>, counts array<int>")
 
 
-def choose_vocabulary(examples: DataFrame, size: int = VOCABULARY, least: int = LEAST_EXAMPLES) -> list[str]:
-    """The terms that separate toxic from other examples best; ``examples`` has text and toxic."""
+def document_frequencies(documents: DataFrame, vocabulary: list[str]) -> tuple[int, np.ndarray]:
+    """The number of documents, and of those with each vocabulary term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, seen, rows = TermCounter(vocabulary), np.zeros(len(vocabulary) + 1, np.int64), 0
+        for batch in batches:
+            rows += batch.num_rows
+            for text in batch.column(0).to_pylist():
+                found = counter.terms(text)
+                seen[np.fromiter(found, np.int64, len(found))] += 1
+        seen[-1] = rows
+        terms = np.nonzero(seen)[0]
+        for at in range(0, len(terms), 65536):
+            some = terms[at:at + 65536]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(seen[some])], names=["term", "n"])
+
+    counted = documents.select(F.col("text").cast("string")).mapInArrow(run, "term int, n long").groupBy("term").agg(
+        F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(vocabulary) + 1, np.int64)
+    out[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
+    return int(out[-1]), out[:-1]
+
+
+def example_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """All terms of the examples, in order, and how many toxic and other ones have each; ``examples``
+    has text and toxic."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())
@@ -117,47 +147,37 @@ def choose_vocabulary(examples: DataFrame, size: int = VOCABULARY, least: int =
         )
 
     sums = examples.select("text", "toxic").mapInArrow(run, "term string, toxic long, clean long").groupBy("term").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
-    ).where(F.col("toxic") >= least)
-    sizes = {r.toxic: r.n for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    a, b = F.col("toxic") / max(1, sizes.get(1, 0)), F.col("clean") / max(1, sizes.get(0, 0))
-    ranked = sums.where(a > 2 * b).withColumn("gain", (a - b) * (a - b) / (a + b))
-    return [r.term for r in ranked.orderBy(F.desc("gain"), "term").limit(size).collect()]
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow().sort_by("term")
+    return sums.column("term").to_pylist(), sums.column("toxic").to_numpy(), sums.column("clean").to_numpy()
 
 
 class Examples:
-    """A block-max inverted index of TF-IDF vectors with votes. Examples with the same vector
-    are one entry."""
+    """An inverted index of weighted vectors with votes. Examples with the same vector are one entry."""
 
     def __init__(self, idf: np.ndarray, vectors: list[tuple], weight: tuple[float, float], k: int = NEIGHBOURS):
-        """``vectors``: (doc_id, terms, counts, toxic)."""
+        """``idf``: the weight of each term; ``vectors``: (doc_id, terms, counts, toxic)."""
         self.idf, self.weight, self.k = idf, weight, k
-        entries: dict[tuple, list] = {}
+        entries: dict[bytes, list] = {}
+        self.empty = (0.0, 0.0, [])
         for doc_id, terms, counts, toxic in vectors:
-            entry = entries.setdefault((tuple(terms), tuple(counts)), [0, 0, []])
+            entry = entries.setdefault(_key(terms, counts), [0, 0, [], terms, counts])
             entry[1 if toxic else 0] += 1
             entry[2] = sorted([*entry[2], doc_id])[:3]
-        # Alike vectors in a row make blocks whose bounds are tight.
-        keys = sorted((key for key in entries if key[0]), key=lambda key: (self._heaviest(key), key))
-        self.blocks = -(-len(keys) // BLOCK)
-        self.clean = np.array([entries[key][0] for key in keys], float)
-        self.toxic = np.array([entries[key][1] for key in keys], float)
-        self.ids = [entries[key][2] for key in keys]
-        empty = entries.get(((), ()), [0, 0, []])
-        self.empty = (float(empty[0]), float(empty[1]), empty[2])
-        self.most = np.zeros((len(idf), max(1, self.blocks)))
-        self.postings: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        lists: dict[tuple[int, int], list] = {}
-        for e, (terms, counts) in enumerate(keys):
-            for t, w in zip(terms, self.weights(terms, counts)):
-                lists.setdefault((t, e // BLOCK), []).append((e % BLOCK, w))
-        for (t, b), rows in lists.items():
-            at, w = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            self.postings[t, b] = (at, w)
-            self.most[t, b] = w.max()
-
-    def _heaviest(self, key) -> int:
-        return key[0][int(np.argmax(self.weights(*key)))]
+        kept = []
+        for entry in entries.values():
+            if len(entry[3]):
+                kept.append(entry)
+            else:
+                self.empty = (float(entry[0]), float(entry[1]), entry[2])
+        self.clean = np.array([e[0] for e in kept], float)
+        self.toxic = np.array([e[1] for e in kept], float)
+        self.ids = [e[2] for e in kept]
+        none = [np.zeros(0, np.int64)]
+        terms = np.concatenate([np.asarray(e[3], np.int64) for e in kept] or none)
+        order = np.argsort(terms, kind="stable")
+        self.entry = np.repeat(np.arange(len(kept)), [len(e[3]) for e in kept] or 0)[order]
+        self.value = np.concatenate([self.weights(e[3], e[4]) for e in kept] or none)[order]
+        self.first = np.searchsorted(terms[order], np.arange(len(idf) + 1))
 
     def weights(self, terms, counts) -> np.ndarray:
         w = (1 + np.log(np.asarray(counts, float))) * self.idf[np.asarray(terms, int)]
@@ -166,39 +186,38 @@ class Examples:
     def nearest(self, terms, counts, without: int | None = None) -> list[tuple[float, int]]:
         """(similarity, entry) of all examples at least as near as the k-th; ``without`` leaves out
         one example of the given label that has this very vector."""
-        w = self.weights(terms, counts)
-        bound = w @ self.most[np.asarray(terms, int)]
-        found: list[tuple[float, int]] = []
-        kth = 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or bound[b] < kth - 1e-12:
-                break
-            scores = np.zeros(BLOCK)
-            for t, x in zip(terms, w):
-                posting = self.postings.get((t, b))
-                if posting is not None:
-                    scores[posting[0]] += x * posting[1]
-            near = np.nonzero((scores > 0) & (scores >= kth - 1e-12))[0]
-            found += [(float(round(scores[i], 12)), b * BLOCK + int(i)) for i in near]
-            found.sort(key=lambda f: (-f[0], f[1]))
-            left, found_kth = self.k, 0.0
-            for i, (score, e) in enumerate(found):
-                left -= self.clean[e] + self.toxic[e] - (without is not None and score > 1 - 1e-9)
-                if left <= 0:
-                    found_kth = score
-                    found = [f for f in found if f[0] >= score]
-                    break
-            kth = found_kth
+        scores = self._similarities(terms, counts)
+        # Each entry but the left out one is a neighbour at least.
+        least = np.partition(scores, -self.k - 1)[-self.k - 1] if len(scores) > self.k + 1 else 0.0
+        near = np.nonzero((scores > 0) & (scores >= least - 1e-12))[0]
+        found = sorted(((float(round(scores[e], 12)), int(e)) for e in near), key=lambda f: (-f[0], f[1]))
+        left = self.k
+        for score, e in found:
+            left -= self.clean[e] + self.toxic[e] - (without is not None and score > 1 - 1e-9)
+            if left <= 0:
+                return [f for f in found if f[0] >= score]
         return found
 
+    def _similarities(self, terms, counts) -> np.ndarray:
+        w, at = self.weights(terms, counts), np.asarray(terms, np.int64)
+        spans = list(zip(self.first[at].tolist(), self.first[at + 1].tolist()))
+        entry = np.concatenate([self.entry[a:b] for a, b in spans])
+        value = np.concatenate([self.value[a:b] for a, b in spans])
+        value *= np.repeat(w, self.first[at + 1] - self.first[at])
+        return np.bincount(entry, value, minlength=len(self.clean))
+
     def vote(self, terms, counts, without: int | None = None) -> float:
         """The weighted share of toxic neighbours, smoothed by one neighbour of average mix."""
+        return self.share(self.nearest(terms, counts, without) if len(terms) else None, without)
+
+    def share(self, found: list[tuple[float, int]] | None, without: int | None = None) -> float:
+        """The vote of ``found``; None: of the examples without a term."""
         off = (without == 0, without == 1)
         sums = [0.0, 0.0]
-        if not len(terms):
+        if found is None:
             sums = [self.empty[0] - off[0], self.empty[1] - off[1]]
         else:
-            for score, e in self.nearest(terms, counts, without):
+            for score, e in found:
                 same = score > 1 - 1e-9
                 sums[0] += score * score * (self.clean[e] - (off[0] and same))
                 sums[1] += score * score * (self.toxic[e] - (off[1] and same))
@@ -214,12 +233,16 @@ class Examples:
         toxic = (self.toxic.sum() + self.empty[1]) * self.weight[1]
         return toxic / (clean + toxic) if clean + toxic else 0.0
 
-    def evidence(self, terms, counts, most: int = 3) -> list[tuple[int, float, float]]:
+    def evidence(self, found: list[tuple[float, int]] | None, most: int = 3) -> list[tuple[int, float, float]]:
         """(doc_id, similarity, toxic share of the examples with that vector) of the nearest."""
-        if not len(terms):
-            return []
         return [(self.ids[e][0], score, float(self.toxic[e] / (self.toxic[e] + self.clean[e])))
-                for score, e in self.nearest(terms, counts)[:most]]
+                for score, e in (found or [])[:most]]
+
+
+def _key(terms, counts) -> bytes:
+    """Equal for equal vectors."""
+    return hashlib.blake2b(np.asarray(terms, np.int64).tobytes() + np.asarray(counts, np.int64).tobytes(),
+                           digest_size=16).digest()
 
 
 class ToxicityModel:
@@ -227,7 +250,7 @@ class ToxicityModel:
 
     def __init__(self, vocabulary: list[str], examples: Examples | None, share: float, curve=(1.0, 0.0)):
         self.vocabulary, self.examples, self.share, self.curve = vocabulary, examples, share, curve
-        self._known: dict[tuple, tuple] = {}
+        self._known: dict[bytes, tuple] = {}
 
     def __getstate__(self):
         return {**self.__dict__, "_known": {}}
@@ -237,7 +260,7 @@ class ToxicityModel:
         seen: dict[tuple, float] = {}
         votes, weights = [], []
         for _, terms, counts, toxic in vectors:
-            key = (tuple(terms), tuple(counts), toxic)
+            key = (_key(terms, counts), toxic)
             if key not in seen:
                 seen[key] = self.examples.vote(terms, counts, toxic)
             votes.append(seen[key])
@@ -248,12 +271,13 @@ class ToxicityModel:
     def score(self, terms, counts) -> tuple[float, list]:
         if self.examples is None:
             return self.share, []
-        key = (tuple(terms), tuple(counts))
+        key = _key(terms, counts)
         if key not in self._known:
             if len(self._known) > 20_000:
                 self._known.clear()
-            z = self.curve[0] * float(_logit(np.array(self.examples.vote(terms, counts)))) + self.curve[1]
-            self._known[key] = (1 / (1 + math.exp(-max(-50.0, min(50.0, z)))), self.examples.evidence(terms, counts))
+            found = self.examples.nearest(terms, counts) if len(terms) else None
+            z = self.curve[0] * float(_logit(np.array(self.examples.share(found)))) + self.curve[1]
+            self._known[key] = (1 / (1 + math.exp(-max(-50.0, min(50.0, z)))), self.examples.evidence(found))
         return self._known[key]
 
 
@@ -275,8 +299,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-2)
     return (float(beta[0]), float(beta[1])) if beta[0] > 0 else (1.0, 0.0)
 
 
-def fit(documents: DataFrame, labels: DataFrame, *, examples: int = EXAMPLES, vocabulary: int = VOCABULARY):
-    """(model, vectors): the model and the written term counts of all documents."""
+def fit(documents: DataFrame, labels: DataFrame, *, examples: int = EXAMPLES):
+    """(model, vectors): the model and the term counts of all documents, not computed yet."""
     train = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(
         "doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
     sample = stage_table(
@@ -286,24 +310,27 @@ def fit(documents: DataFrame, labels: DataFrame, *, examples: int = EXAMPLES, vo
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most 2 * examples ids: the size of the broadcast is a parameter.
     taught = stage_table(
-        texts.join(F.broadcast(sample), F.col("doc_id") == F.col("example")).select("text", "toxic"), "example_texts"
+        texts.join(F.broadcast(sample), F.col("doc_id") == F.col("example")).select("doc_id", "text", "toxic")
+        .dropDuplicates(["doc_id"]), "example_texts"
     )
-    terms = choose_vocabulary(taught, vocabulary)
-    vectors = stage_table(term_vectors(texts, terms), "term_vectors")
+    terms, in_toxic, in_clean = example_terms(taught)
+    vectors = term_vectors(texts, terms)
     sums = {r.toxic: r.n for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total = sum(sums.values())
     share = sums.get(1, 0) / total if total else 0.0
-    chosen = vectors.join(F.broadcast(sample), F.col("doc_id") == F.col("example"))
-    rows = [(r.doc_id, r.terms, r.counts, r.toxic) for r in
-            chosen.select("doc_id", "terms", "counts", "toxic").dropDuplicates(["doc_id"]).collect()]
-    rows.sort()
-    have = Counter(r[3] for r in rows)
+    toxic_of = {r.doc_id: r.toxic for r in taught.select("doc_id", "toxic").collect()}
+    have = Counter(toxic_of.values())
     if not terms or not have[0] or not have[1]:
         return ToxicityModel(terms, None, share), vectors
-    df = {r.term: r.n for r in vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count("*").alias("n")).collect()}
-    n = vectors.count()
-    idf = np.array([math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in range(len(terms))])
+    rows = []
+    for batch in term_vectors(taught, terms).toArrow().to_batches():
+        found, counts = batch.column("terms"), batch.column("counts")
+        for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+            rows.append((doc_id, found[i].values.to_numpy(), counts[i].values.to_numpy(), toxic_of[doc_id]))
+    rows.sort(key=lambda r: r[0])
+    n, df = document_frequencies(texts, terms)
+    apart = np.log((in_toxic + 0.5) / (have[1] + 1)) - np.log((in_clean + 0.5) / (have[0] + 1))
+    idf = (np.log((1 + n) / (1 + df)) + 1) * (np.abs(apart) + LEAST_WEIGHT)
     weight = (sums.get(0, 0) / have[0], sums.get(1, 0) / have[1])
     scale = (have[0] + have[1]) / total
     model = ToxicityModel(terms, Examples(idf, rows, (weight[0] * scale, weight[1] * scale)), share)
@@ -330,8 +357,10 @@ def score(documents: DataFrame, model: ToxicityModel, *, text: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TermCounter(model.vocabulary)
         for batch in batches:
-            found = [counter.counts(t) for t in batch.column(kept.index(text)).to_pylist()]
-            yield _scored(batch, model, [sorted(c) for c in found], [[c[t] for t in sorted(c)] for c in found])
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                found = [counter.counts(t) for t in some.column(kept.index(text)).to_pylist()]
+                yield _scored(some, model, [sorted(c) for c in found], [[c[t] for t in sorted(c)] for c in found])
 
     schema = StructType(list(rows.schema.fields)).add("score", "double").add("predicted", "integer")
     return rows.mapInArrow(run, schema.add("evidence", DataType.fromDDL(_EVIDENCE)))
@@ -349,6 +378,7 @@ def _scored(batch: pa.RecordBatch, model: ToxicityModel, terms: list, counts: li
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, vectors = fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    scored = score_vectors(vectors, model)
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    model, _ = fit(documents, table(spark, sf_dir, "labels"))
+    scored = score(documents, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
