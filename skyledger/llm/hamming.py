@@ -8,7 +8,9 @@ verified distance is within that; the others go on with ``r + 1``. Distances are
 the join, against the k-th found so far: what cannot be a neighbour does not leave it.
 
 Codes that occur often are one entry each, with the ``k + 1`` smallest ids: by the tie rule no
-other can be an answer. The number of segments follows the number of codes, so a segment
+other can be an answer. For the same reason a query keeps the ``k + 1`` entries that are first by
+distance and smallest id, however many share its segments or are as near; Spark limits them
+before they are shuffled and gathered. The number of segments follows the number of codes, so a segment
 value has a few codes at any size. All state is written tables, rounds are as few as bits of a
 segment at most, and the driver sees counts only.
 
@@ -19,8 +21,6 @@ to the smaller id; an empty table gives no rows; other columns are not looked at
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +28,9 @@ from skyledger.llm.common import table, top_by
 from skyledger.session import stage_table
 
 BITS = 64
+#: Segments are no wider: a round has at most C(16, 8) masks, more codes get longer lists instead.
+WIDEST = 16
+_FOUND = "array<struct<distance:int,first:long,code:long,size:int>>"
 
 
 def sign_codes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -68,40 +71,46 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         top_by(usable, ["code"], [F.col("id")], k + 1, "n").groupBy("code").agg(
             F.sort_array(F.collect_list("id")).alias("ids")), "codes",
     )
-    width = widths(entries.count())
+    width = min(WIDEST, widths(entries.count()))
     segments = BITS // width
     pieces = F.array(*[F.struct(F.lit(s).alias("segment"), _segment(F.col("code"), s, width).alias("value"))
                        for s in range(segments)])
-    index = stage_table(entries.select("code", F.size("ids").alias("size"), F.explode(pieces).alias("at")).select(
-        "at.segment", "at.value", "code", "size"), "segments")
+    index = stage_table(entries.select("code", F.element_at("ids", 1).alias("first"), F.size("ids").alias("size"),
+                                       F.explode(pieces).alias("at")).select(
+        "at.segment", "at.value", "code", "first", "size"), "segments")
     asked = stage_table(queries.where("id is not null and code is not null").select(
         F.col("id").alias("query_id"), "code").distinct(), "queries")
     # A query's own id may be among what it finds, so k + 1 are wanted of each code asked for.
     open_ = asked.select(F.col("code").alias("query")).distinct().withColumn("reach", F.lit(BITS))
-    open_ = stage_table(open_.withColumn("found", F.array().cast("array<struct<distance:int,code:long,size:int>>")), "open")
+    open_ = stage_table(open_.withColumn("found", F.array().cast(_FOUND)), "open")
     done: list[DataFrame] = []
     for radius in range(width + 1):
-        masks = [sum(1 << b for b in bits) for bits in itertools.combinations(range(width), radius)]
+        masks = F.broadcast(entries.sparkSession.range(1 << width).where(F.bit_count("id") == radius).select(
+            F.col("id").alias("mask")))
         probe = open_.select("query", "reach", F.explode(F.array(*[
             F.struct(F.lit(s).alias("segment"), _segment(F.col("query"), s, width).alias("own")) for s in range(segments)
         ])).alias("at")).select("query", "reach", "at.segment", "at.own")
-        probe = probe.withColumn("mask", F.explode(_masks(masks))).select(
+        probe = probe.crossJoin(masks).select(
             "query", "reach", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
         # The probes of a round are many more than their source lets Spark guess: never broadcast.
         hits = probe.hint("merge").join(index.hint("merge"), ["segment", "value"]).where(distance(F.col("query"), F.col("code")) <= F.col("reach"))
-        new = hits.select("query", F.struct(distance(F.col("query"), F.col("code")).alias("distance"), "code",
-                                            "size").alias("hit")).distinct()
+        # Each code once: not if an earlier round saw it, and by the first segment that finds it in this one.
+        apart = [distance(_segment(F.col("query"), s, width), _segment(F.col("code"), s, width)) for s in range(segments)]
+        hits = hits.where(F.array_position(F.array(*apart), radius) == F.col("segment") + 1).where(
+            F.least(*apart) == radius)
+        new = hits.select("query", F.struct(distance(F.col("query"), F.col("code")).alias("distance"), "first", "code",
+                                            "size").alias("hit"))
         old = open_.select("query", F.explode("found").alias("hit"))
-        gathered = new.union(old).distinct().withColumn(
-            "n", F.sum("hit.size").over(_by_distance()) - F.col("hit.size"))
-        # Entries up to the one that completes k + 1 ids, and those as near as it.
+        gathered = top_by(new.union(old), ["query"], [F.col("hit.distance"), F.col("hit.first")], k + 1, "at")
+        gathered = gathered.withColumn("n", F.sum("hit.size").over(_by_distance()) - F.col("hit.size"))
+        # Entries up to the one that completes k + 1 ids, and those of these as near as it.
         cut = gathered.groupBy("query").agg(
             F.min(F.when(F.col("n") + F.col("hit.size") >= k + 1, F.col("hit.distance"))).alias("kth"),
             F.array_sort(F.collect_list("hit")).alias("found"),
         )
         state = open_.select("query").join(cut, "query", "left").select(
             "query", F.coalesce("kth", F.lit(BITS)).alias("reach"),
-            F.filter(F.coalesce("found", F.array().cast("array<struct<distance:int,code:long,size:int>>")),
+            F.filter(F.coalesce("found", F.array().cast(_FOUND)),
                      lambda h: h["distance"] <= F.coalesce(F.col("kth"), F.lit(BITS))).alias("found"),
         )
         state = stage_table(state, "round")
@@ -125,12 +134,7 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 def _by_distance():
     from pyspark.sql import Window
 
-    return Window.partitionBy("query").orderBy("hit.distance", "hit.code")
-
-
-def _masks(masks: list[int]) -> Column:
-    """A literal array, as text so that the plan stays small."""
-    return F.transform(F.split(F.lit(",".join(map(str, masks))), ","), lambda m: m.cast("long"))
+    return Window.partitionBy("query").orderBy("hit.distance", "hit.first", "hit.code")
 
 
 NEAREST = 10
