@@ -38,6 +38,10 @@ CLASSES = (
     ("hex", r"^[0-9A-Fa-f]+$", 3.0),
     ("alnum", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]+$", 3.7),
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_=-]+$", 3.7),
+    ("lower", r"^(?=.*[0-9])(?=.*[a-z])[a-z0-9]+=*$", 3.5),
+    ("upper", r"^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9]+=*$", 3.5),
+    # Long words stay below.
+    ("letters", r"^[A-Za-z]+=*$", 3.7),
 )
 #: Shapes that are no secrets: UUIDs, dates, placeholders, decimal numbers, alphabets.
 ALLOWED = (
