@@ -302,7 +302,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-2)
 def fit(documents: DataFrame, labels: DataFrame, *, examples: int = EXAMPLES):
     """(model, vectors): the model and the term counts of all documents, not computed yet."""
     train = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(
-        "doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
+        F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
+    # Labels of other documents take no place among the examples and count for no class.
+    train = train.join(documents.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
     sample = stage_table(
         top_by(train, ["toxic"], [F.xxhash64("doc_id"), F.col("doc_id")], examples, "n").select(
             F.col("doc_id").alias("example"), "toxic"), "examples",
