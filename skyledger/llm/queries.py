@@ -6,9 +6,13 @@ from skyledger.llm.byte_bpe import op5_byte_bpe
 from skyledger.llm.chat import CONTROL, END, TEXT, TURN, op4_reply_trees
 from skyledger.llm.graph_search import op6_graph_search
 from skyledger.llm.hamming import NEAREST, op10_hamming_top_k
+from skyledger.llm.html_extraction import op12_html_extraction
 from skyledger.llm.near_duplicates import op1_minhash_near_dedup
 from skyledger.llm.packing import op3_mixture_packing
 from skyledger.llm.secret_scan import op8_secret_scan
+from skyledger.llm.spelling import op13_spelling_variants
+from skyledger.llm.spelling_sql import SQL as _SPELLING
+from skyledger.llm.token_alignment import op11_token_alignment
 from skyledger.llm.token_counts import op7_token_counts
 from skyledger.llm.toxicity import op9_toxicity
 from skyledger.llm.urls import RULES, op2_url_filters
@@ -18,6 +22,7 @@ QUERIES = {
     for fn in (
         op1_minhash_near_dedup, op2_url_filters, op3_mixture_packing, op4_reply_trees, op5_byte_bpe,
         op6_graph_search, op7_token_counts, op8_secret_scan, op9_toxicity, op10_hamming_top_k,
+        op11_token_alignment, op12_html_extraction, op13_spelling_variants,
     )
 }
 
@@ -92,4 +97,5 @@ SQL = {
     "op2_url_filters": _URLS,
     "op4_reply_trees": _CHAT,
     "op10_hamming_top_k": _HAMMING,
+    "op13_spelling_variants": _SPELLING,
 }
