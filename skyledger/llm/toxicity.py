@@ -1,18 +1,22 @@
 """Toxicity scores from the nearest labelled examples.
 
 Terms are words and word beginnings. All terms of a bounded sample of labelled documents
-(``EXAMPLES`` a class, chosen by a hash of the id) are indexed; document frequencies are counted
-over all documents. A term weighs by its inverse document frequency, times how far apart its shares
-of toxic and of other examples are (the logarithm of their ratio, smoothed, plus ``LEAST_WEIGHT``):
-a term that says little weighs little, none is dropped. Each text becomes a vector of all these
-terms, and its nearest examples are found exactly, by cosine, in an inverted index.
-
-Neighbours vote with the square of their similarity, each class weighted by its share of all
-training labels; the vote is calibrated by a logistic curve fitted on votes of the examples
-without themselves. All examples as near as the k-th count, so ties do not matter. The nearest
-are returned as evidence.
-
-The model is as large as the examples and their terms, whatever the corpus.
+(``EXAMPLES`` a class, chosen by a hash of the id) are indexed, with document frequencies among these
+examples. Each text becomes a TF-IDF vector of all these terms; its ``NEIGHBOURS`` nearest
+examples by cosine are found exactly.
+
+The index is block-max: examples are ordered so that like ones lie together and cut into blocks of
+``BLOCK``. Terms of few examples have posting lists, all of which are added up. A term of many examples
+has its list as a dense row, with the largest weight in each block. A block whose bound (the largest
+sum so far in it, plus the query's weights times the block's largest ones) is below the k-th best score
+of the most promising blocks is not visited. All examples as near as the k-th count, so ties do not matter.
+
+Neighbours vote with their similarity, in which each shared term counts by the square of how far apart its
+shares of toxic and of other examples are (the logarithm of their ratio; below ``LEAST_APART`` it
+does not vote), and each class by its share of all training labels. A logistic curve, fitted on votes of
+the examples without themselves, turns votes into scores. The nearest examples are returned as evidence.
+
+The model is as large as the examples and their terms, whatever the corpus, and is broadcast once.
 Defined cases: a null or empty text, or one without a known term, is nearest to the examples
 without any; without examples of both classes the score is the share of toxic labels (0 without
 labels) and there is no evidence; labels that are null, or name no document, teach nothing; of
@@ -27,6 +31,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +43,19 @@ from skyledger.llm.common import table, top_by
 from skyledger.session import stage_table
 
 EXAMPLES = 3000
-NEIGHBOURS = 25
-LEAST_WEIGHT = 0.1
+NEIGHBOURS = 200
+BLOCK = 128
+#: Texts searched at once; their sums over all examples stay in a few megabytes.
+QUERIES = 64
+#: A term of more than this share of the examples has a dense row.
+DENSE = 0.1
+#: Logarithms of class ratios nearer to 0 than this say nothing.
+LEAST_APART = 0.5
+#: The weight of the average mix in each vote.
+SMOOTHING = 0.01
 _BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHED = 300_000
+_CACHED = 150_000
 _EVIDENCE = "array<struct<doc_id:long,similarity:double,toxic:double>>"
 
 
@@ -77,15 +90,19 @@ class TermCounter:
                 self._known[chunk] = ids
         return ids
 
-    def counts(self, text: str | None) -> dict[int, int]:
-        found: dict[int, int] = {}
-        for chunk, n in Counter((text or "").split()).items():
-            for t in self._ids(chunk):
-                found[t] = found.get(t, 0) + n
-        return found
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, counts) of a text, terms in order."""
+        chunks = Counter((text or "").split())
+        ids = [self._ids(chunk) for chunk in chunks]
+        terms = np.fromiter(chain.from_iterable(ids), np.int64)
+        times = np.repeat(np.fromiter(chunks.values(), np.int64, len(ids)), np.fromiter(map(len, ids), np.int64, len(ids)))
+        order = np.argsort(terms, kind="stable")
+        terms, times = terms[order], times[order]
+        first = np.nonzero(np.diff(terms, prepend=-1))[0]
+        return terms[first], np.add.reduceat(times, first) if len(first) else times
 
-    def terms(self, text: str | None) -> set[int]:
-        return {t for chunk in set((text or "").split()) for t in self._ids(chunk)}
+    def counts(self, text: str | None) -> dict[int, int]:
+        return dict(zip(*(x.tolist() for x in self.vector(text))))
 
 
 def term_vectors(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -96,10 +113,10 @@ def term_vectors(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                found = [counter.counts(text) for text in some.column(1).to_pylist()]
+                found = [counter.vector(text) for text in some.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array([sorted(c) for c in found], pa.list_(pa.int32())),
-                     pa.array([[c[t] for t in sorted(c)] for c in found], pa.list_(pa.int32()))],
+                    [some.column(0), pa.array([t for t, _ in found], pa.list_(pa.int32())),
+                     pa.array([c for _, c in found], pa.list_(pa.int32()))],
                     names=["doc_id", "terms", "counts"],
                 )
 
@@ -107,29 +124,6 @@ def term_vectors(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, terms array<int>, counts array<int>")
 
 
-def document_frequencies(documents: DataFrame, vocabulary: list[str]) -> tuple[int, np.ndarray]:
-    """The number of documents, and of those with each vocabulary term."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, seen, rows = TermCounter(vocabulary), np.zeros(len(vocabulary) + 1, np.int64), 0
-        for batch in batches:
-            rows += batch.num_rows
-            for text in batch.column(0).to_pylist():
-                found = counter.terms(text)
-                seen[np.fromiter(found, np.int64, len(found))] += 1
-        seen[-1] = rows
-        terms = np.nonzero(seen)[0]
-        for at in range(0, len(terms), 65536):
-            some = terms[at:at + 65536]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(seen[some])], names=["term", "n"])
-
-    counted = documents.select(F.col("text").cast("string")).mapInArrow(run, "term int, n long").groupBy("term").agg(
-        F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(vocabulary) + 1, np.int64)
-    out[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
-    return int(out[-1]), out[:-1]
-
-
 def example_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     """All terms of the examples, in order, and how many toxic and other ones have each; ``examples``
     has text and toxic."""
@@ -152,11 +146,14 @@ def example_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, np.ndarra
 
 
 class Examples:
-    """An inverted index of weighted vectors with votes. Examples with the same vector are one entry."""
+    """A block-max inverted index of weighted vectors with votes. Examples with the same vector are one entry."""
 
-    def __init__(self, idf: np.ndarray, vectors: list[tuple], weight: tuple[float, float], k: int = NEIGHBOURS):
-        """``idf``: the weight of each term; ``vectors``: (doc_id, terms, counts, toxic)."""
+    def __init__(self, idf: np.ndarray, vectors: list[tuple], weight: tuple[float, float], k: int = NEIGHBOURS,
+                 steer: np.ndarray | None = None):
+        """``idf``: the weight of each term; ``vectors``: (doc_id, terms, counts, toxic); ``steer``: how much
+        each term counts in a vote, all alike if it is None."""
         self.idf, self.weight, self.k = idf, weight, k
+        self.steer = np.ones(len(idf)) if steer is None else steer
         entries: dict[bytes, list] = {}
         self.empty = (0.0, 0.0, [])
         for doc_id, terms, counts, toxic in vectors:
@@ -169,63 +166,133 @@ class Examples:
                 kept.append(entry)
             else:
                 self.empty = (float(entry[0]), float(entry[1]), entry[2])
-        self.clean = np.array([e[0] for e in kept], float)
-        self.toxic = np.array([e[1] for e in kept], float)
+        seen = np.bincount(np.concatenate([np.asarray(e[3], np.int64) for e in kept] or [np.zeros(0, np.int64)]), minlength=len(idf))
+        #: The row of each term of many examples, -1 for the others.
+        self.row = np.full(len(idf), -1)
+        often = np.nonzero(seen > DENSE * len(kept))[0]
+        self.row[often] = np.arange(len(often))
+        kept = [kept[i] for i in self._order(kept, len(often))]
+        self.size = -(-len(kept) // BLOCK) * BLOCK
+        pad = [0.0] * (self.size - len(kept))
+        self.clean, self.toxic = (np.array([e[i] for e in kept] + pad, float) for i in (0, 1))
         self.ids = [e[2] for e in kept]
-        none = [np.zeros(0, np.int64)]
-        terms = np.concatenate([np.asarray(e[3], np.int64) for e in kept] or none)
-        order = np.argsort(terms, kind="stable")
-        self.entry = np.repeat(np.arange(len(kept)), [len(e[3]) for e in kept] or 0)[order]
-        self.value = np.concatenate([self.weights(e[3], e[4]) for e in kept] or none)[order]
-        self.first = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+        self.dense = np.zeros((len(often), self.size))
+        entry, term, value = [], [], []
+        for i, e in enumerate(kept):
+            t, w = np.asarray(e[3], np.int64), self.weights(e[3], e[4])
+            at = self.row[t]
+            self.dense[at[at >= 0], i] = w[at >= 0]
+            entry.append(np.full(int((at < 0).sum()), i, np.int32))
+            term.append(t[at < 0].astype(np.int32))
+            value.append(w[at < 0])
+        term = np.concatenate(term) if term else np.zeros(0, np.int32)
+        order = np.argsort(term, kind="stable")
+        self.entry = (np.concatenate(entry) if entry else term)[order].astype(np.int64)
+        self.value = (np.concatenate(value) if value else np.zeros(0))[order]
+        self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        self.most = self.dense.reshape(len(often), self.size // BLOCK, BLOCK).max(2) if self.size else self.dense
+        self.often = often
+        self.voting = np.nonzero(self.steer[often] > 0)[0]
+
+    def _order(self, kept: list, rows: int) -> list[int]:
+        """Entries with like weights of frequent terms next to each other, long ones after short ones."""
+        if not rows or len(kept) <= BLOCK:
+            return list(range(len(kept)))
+        points = np.zeros((len(kept), rows))
+        for i, e in enumerate(kept):
+            at = self.row[np.asarray(e[3], np.int64)]
+            points[i, at[at >= 0]] = self.weights(e[3], e[4])[at >= 0]
+        points -= points.mean(0)
+        axes = np.linalg.eigh(points.T @ points)[1][:, -3:]
+        side = points @ axes > 0
+        sizes = np.array([len(e[3]) for e in kept])
+        return np.lexsort((sizes, *side.T)).tolist()
 
     def weights(self, terms, counts) -> np.ndarray:
         w = (1 + np.log(np.asarray(counts, float))) * self.idf[np.asarray(terms, int)]
         return w / math.sqrt(float(w @ w))
 
-    def nearest(self, terms, counts, without: int | None = None) -> list[tuple[float, int]]:
-        """(similarity, entry) of all examples at least as near as the k-th; ``without`` leaves out
-        one example of the given label that has this very vector."""
-        scores = self._similarities(terms, counts)
-        # Each entry but the left out one is a neighbour at least.
-        least = np.partition(scores, -self.k - 1)[-self.k - 1] if len(scores) > self.k + 1 else 0.0
-        near = np.nonzero((scores > 0) & (scores >= least - 1e-12))[0]
-        found = sorted(((float(round(scores[e], 12)), int(e)) for e in near), key=lambda f: (-f[0], f[1]))
-        left = self.k
-        for score, e in found:
-            left -= self.clean[e] + self.toxic[e] - (without is not None and score > 1 - 1e-9)
-            if left <= 0:
-                return [f for f in found if f[0] >= score]
+    def search(self, queries: list[tuple]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(entries, similarities, vote weights) of each query's (terms, counts), none of them empty, best
+        first: all entries at least as near as the one after the k-th."""
+        n, blocks = len(queries), self.size // BLOCK
+        scores, dense, lists = np.zeros((n, self.size)), np.zeros((n, len(self.often))), []
+        for i, (terms, counts) in enumerate(queries):
+            at, w = np.asarray(terms, np.int64), self.weights(terms, counts)
+            row = self.row[at]
+            dense[i, row[row >= 0]] = w[row >= 0]
+            at, w = at[row < 0], w[row < 0]
+            a, b = self.first[at], self.first[at + 1]
+            count = b - a
+            ends = np.cumsum(count)
+            which = np.repeat(a - ends + count, count)
+            which += np.arange(len(which))
+            entry, value = self.entry.take(which), self.value.take(which)
+            value *= np.repeat(w, count)
+            scores[i] = np.bincount(entry, value, minlength=self.size)
+            lists.append((entry, value, np.repeat(self.steer[at], count)))
+        wanted = min(blocks, -(-2 * (self.k + 1) // BLOCK))
+        cube = scores.reshape(n, blocks, BLOCK)
+        bound = cube.max(2) + dense @ self.most
+        best = np.argpartition(-bound, wanted - 1, axis=1)[:, :wanted]
+        visit = np.zeros((n, blocks), bool)
+        np.put_along_axis(visit, best, True, axis=1)
+        self._visit(scores, dense, visit)
+        known = np.take_along_axis(cube, best[:, :, None], axis=1).reshape(n, wanted * BLOCK)
+        least = np.partition(known, -self.k - 1, axis=1)[:, -self.k - 1] if known.shape[1] > self.k else np.zeros(n)
+        more = ~visit & (bound >= least[:, None] - 1e-9)
+        self._visit(scores, dense, more)
+        cube[~(visit | more)] = 0.0
+        votes = (dense[:, self.voting] * self.steer[self.often[self.voting]]) @ self.dense[self.voting]
+        found = []
+        if self.size > self.k:
+            least = np.partition(scores, -self.k - 1, axis=1)[:, -self.k - 1]
+        for i, (entry, value, steer) in enumerate(lists):
+            near = scores[i] >= max(least[i] - 1e-9, 1e-12)
+            shared = np.nonzero(near.take(entry))[0]
+            vote = votes[i] + np.bincount(entry[shared], value[shared] * steer[shared], minlength=self.size)
+            near = np.nonzero(near)[0]
+            near = near[np.lexsort((near, -np.round(scores[i, near], 12)))]
+            found.append((near, np.round(scores[i, near], 12), vote[near]))
         return found
 
-    def _similarities(self, terms, counts) -> np.ndarray:
-        w, at = self.weights(terms, counts), np.asarray(terms, np.int64)
-        spans = list(zip(self.first[at].tolist(), self.first[at + 1].tolist()))
-        entry = np.concatenate([self.entry[a:b] for a, b in spans])
-        value = np.concatenate([self.value[a:b] for a, b in spans])
-        value *= np.repeat(w, self.first[at + 1] - self.first[at])
-        return np.bincount(entry, value, minlength=len(self.clean))
+    def _visit(self, scores: np.ndarray, dense: np.ndarray, visit: np.ndarray) -> None:
+        """Add the weights of frequent terms to the scores of the marked (query, block) pairs."""
+        for b in np.nonzero(visit.any(0))[0]:
+            some, at = np.nonzero(visit[:, b])[0], slice(b * BLOCK, (b + 1) * BLOCK)
+            scores[some, at] += dense[some] @ self.dense[:, at]
+
+    def _cut(self, found: tuple, without: int | None) -> tuple:
+        """``found`` up to the last example as near as the k-th; ``without`` leaves out one example of the
+        given label that has this very vector."""
+        near, score, vote = found
+        count = self.clean[near] + self.toxic[near]
+        if without is not None:
+            count = count - (np.cumsum(score > 1 - 1e-9) == 1) * (score > 1 - 1e-9)
+        last = np.searchsorted(np.cumsum(count), self.k)
+        keep = score >= score[last] if last < len(score) else np.ones(len(score), bool)
+        return near[keep], score[keep], vote[keep]
 
-    def vote(self, terms, counts, without: int | None = None) -> float:
-        """The weighted share of toxic neighbours, smoothed by one neighbour of average mix."""
-        return self.share(self.nearest(terms, counts, without) if len(terms) else None, without)
+    def nearest(self, terms, counts, without: int | None = None) -> list[tuple[float, int]]:
+        """(similarity, entry) of all examples at least as near as the k-th."""
+        near, score, _ = self._cut(self.search([(terms, counts)])[0], without)
+        return list(zip(score.tolist(), near.tolist()))
 
-    def share(self, found: list[tuple[float, int]] | None, without: int | None = None) -> float:
-        """The vote of ``found``; None: of the examples without a term."""
+    def share(self, found: tuple | None, without: int | None = None) -> float:
+        """The toxic share of the votes of ``found``; None: of the examples without a term."""
         off = (without == 0, without == 1)
-        sums = [0.0, 0.0]
         if found is None:
-            sums = [self.empty[0] - off[0], self.empty[1] - off[1]]
+            clean, toxic = self.empty[0] - off[0], self.empty[1] - off[1]
         else:
-            for score, e in found:
-                same = score > 1 - 1e-9
-                sums[0] += score * score * (self.clean[e] - (off[0] and same))
-                sums[1] += score * score * (self.toxic[e] - (off[1] and same))
-                if same:
-                    off = (False, False)
-        clean, toxic = max(0.0, sums[0]) * self.weight[0], max(0.0, sums[1]) * self.weight[1]
-        prior = self.prior
-        return (toxic + prior) / (clean + toxic + 1)
+            near, score, vote = self._cut(found, without)
+            clean, toxic = self.clean[near], self.toxic[near]
+            same = np.nonzero(score > 1 - 1e-9)[0][:1]
+            if len(same) and without is not None:
+                clean[same] -= off[0]
+                toxic[same] -= off[1]
+            clean, toxic = float(vote @ np.maximum(clean, 0)), float(vote @ np.maximum(toxic, 0))
+        clean, toxic = max(0.0, clean) * self.weight[0], max(0.0, toxic) * self.weight[1]
+        return (toxic + SMOOTHING * self.prior) / (clean + toxic + SMOOTHING)
 
     @property
     def prior(self) -> float:
@@ -233,10 +300,12 @@ class Examples:
         toxic = (self.toxic.sum() + self.empty[1]) * self.weight[1]
         return toxic / (clean + toxic) if clean + toxic else 0.0
 
-    def evidence(self, found: list[tuple[float, int]] | None, most: int = 3) -> list[tuple[int, float, float]]:
+    def evidence(self, found: tuple | None, most: int = 3) -> list[tuple[int, float, float]]:
         """(doc_id, similarity, toxic share of the examples with that vector) of the nearest."""
-        return [(self.ids[e][0], score, float(self.toxic[e] / (self.toxic[e] + self.clean[e])))
-                for score, e in (found or [])[:most]]
+        if found is None:
+            return []
+        return [(self.ids[e][0], float(score), float(self.toxic[e] / (self.toxic[e] + self.clean[e])))
+                for e, score in zip(found[0][:most].tolist(), found[1])]
 
 
 def _key(terms, counts) -> bytes:
@@ -251,34 +320,46 @@ class ToxicityModel:
     def __init__(self, vocabulary: list[str], examples: Examples | None, share: float, curve=(1.0, 0.0)):
         self.vocabulary, self.examples, self.share, self.curve = vocabulary, examples, share, curve
         self._known: dict[bytes, tuple] = {}
+        self._counter: TermCounter | None = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_known": {}}
+        return {**self.__dict__, "_known": {}, "_counter": None}
 
-    def calibrate(self, vectors: list[tuple]) -> None:
+    @property
+    def counter(self) -> TermCounter:
+        if self._counter is None:
+            self._counter = TermCounter(self.vocabulary)
+        return self._counter
+
+    def votes(self, queries: list[tuple]) -> list[float]:
+        """The votes for examples (terms, counts, toxic), each without itself."""
+        out = []
+        for at in range(0, len(queries), QUERIES):
+            some = queries[at:at + QUERIES]
+            found = iter(self.examples.search([q[:2] for q in some if len(q[0])]))
+            out += [self.examples.share(next(found) if len(q[0]) else None, q[2]) for q in some]
+        return out
+
+    def calibrate(self, votes: np.ndarray, toxic: np.ndarray) -> None:
         """Fit the curve on each example's vote without itself, each class with its true weight."""
-        seen: dict[tuple, float] = {}
-        votes, weights = [], []
-        for _, terms, counts, toxic in vectors:
-            key = (_key(terms, counts), toxic)
-            if key not in seen:
-                seen[key] = self.examples.vote(terms, counts, toxic)
-            votes.append(seen[key])
-            weights.append(self.examples.weight[toxic])
-        y = np.array([v[3] for v in vectors], float)
-        self.curve = _logistic(_logit(np.array(votes)), y, np.array(weights))
-
-    def score(self, terms, counts) -> tuple[float, list]:
+        weights = np.array(self.examples.weight)[toxic]
+        self.curve = _logistic(_logit(votes), toxic.astype(float), weights)
+
+    def score(self, queries: list[tuple]) -> list[tuple[float, list]]:
+        """(score, evidence) of each (terms, counts)."""
         if self.examples is None:
-            return self.share, []
-        key = _key(terms, counts)
-        if key not in self._known:
-            if len(self._known) > 20_000:
-                self._known.clear()
-            found = self.examples.nearest(terms, counts) if len(terms) else None
-            z = self.curve[0] * float(_logit(np.array(self.examples.share(found)))) + self.curve[1]
-            self._known[key] = (1 / (1 + math.exp(-max(-50.0, min(50.0, z)))), self.examples.evidence(found))
-        return self._known[key]
+            return [(self.share, [])] * len(queries)
+        keys = [_key(*q) for q in queries]
+        new = {key: q for key, q in zip(keys, queries) if key not in self._known}
+        if len(self._known) + len(new) > 20_000:
+            new = dict(zip(keys, queries))
+            self._known.clear()
+        found = iter(self.examples.search([q for q in new.values() if len(q[0])]))
+        for key, q in new.items():
+            near = next(found) if len(q[0]) else None
+            z = self.curve[0] * float(_logit(np.array(self.examples.share(near)))) + self.curve[1]
+            self._known[key] = (1 / (1 + math.exp(-max(-50.0, min(50.0, z)))), self.examples.evidence(near))
+        return [self._known[key] for key in keys]
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -325,28 +406,52 @@ def fit(documents: DataFrame, labels: DataFrame, *, examples: int = EXAMPLES):
     if not terms or not have[0] or not have[1]:
         return ToxicityModel(terms, None, share), vectors
     rows = []
-    for batch in term_vectors(taught, terms).toArrow().to_batches():
+    taught_vectors = stage_table(term_vectors(taught, terms), "example_vectors")
+    for batch in taught_vectors.toArrow().to_batches():
         found, counts = batch.column("terms"), batch.column("counts")
         for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
             rows.append((doc_id, found[i].values.to_numpy(), counts[i].values.to_numpy(), toxic_of[doc_id]))
     rows.sort(key=lambda r: r[0])
-    n, df = document_frequencies(texts, terms)
-    apart = np.log((in_toxic + 0.5) / (have[1] + 1)) - np.log((in_clean + 0.5) / (have[0] + 1))
-    idf = (np.log((1 + n) / (1 + df)) + 1) * (np.abs(apart) + LEAST_WEIGHT)
-    weight = (sums.get(0, 0) / have[0], sums.get(1, 0) / have[1])
+    idf = np.log((1 + len(rows)) / (1 + in_toxic + in_clean)) + 1
+    apart = np.abs(np.log((in_toxic + 0.5) / (have[1] + 1)) - np.log((in_clean + 0.5) / (have[0] + 1)))
     scale = (have[0] + have[1]) / total
-    model = ToxicityModel(terms, Examples(idf, rows, (weight[0] * scale, weight[1] * scale)), share)
-    model.calibrate(rows)
+    weight = (sums.get(0, 0) / have[0] * scale, sums.get(1, 0) / have[1] * scale)
+    steer = np.where(apart < LEAST_APART, 0.0, apart * apart)
+    model = ToxicityModel(terms, Examples(idf, rows, weight, steer=steer), share)
+    del rows
+    votes = _example_votes(taught_vectors, model, toxic_of).toPandas().sort_values(["toxic", "vote"])
+    model.calibrate(votes["vote"].to_numpy(), votes["toxic"].to_numpy())
     return model, vectors
 
 
+def _example_votes(vectors: DataFrame, model: ToxicityModel, toxic_of: dict) -> DataFrame:
+    """vote and toxic of each example, the vote without itself; at most two classes of examples."""
+    shared = vectors.sparkSession.sparkContext.broadcast((model, toxic_of))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, toxic_of = shared.value
+        for batch in batches:
+            toxic = [toxic_of[i] for i in batch.column("doc_id").to_pylist()]
+            votes = model.votes([(*q, y) for q, y in zip(_queries(batch), toxic)])
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(toxic, pa.int64())], names=["vote", "toxic"])
+
+    return vectors.repartition(vectors.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "vote double, toxic long")
+
+
+def _queries(batch: pa.RecordBatch) -> list[tuple]:
+    terms, counts = ([one.values.to_numpy() for one in batch.column(c)] for c in ("terms", "counts"))
+    return list(zip(terms, counts))
+
+
 def score_vectors(vectors: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, score, predicted and evidence for term counts of documents."""
+    shared = vectors.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _scored(batch.select(["doc_id"]), model, batch.column("terms").to_pylist(),
-                          batch.column("counts").to_pylist())
+            for at in range(0, batch.num_rows, QUERIES):
+                some = batch.slice(at, QUERIES)
+                yield _scored(some.select(["doc_id"]), shared.value, _queries(some))
 
     return vectors.mapInArrow(run, f"doc_id long, score double, predicted int, evidence {_EVIDENCE}")
 
@@ -355,21 +460,21 @@ def score(documents: DataFrame, model: ToxicityModel, *, text: str = "text") ->
     """``documents`` with score, predicted and evidence, in one pass over the texts."""
     kept = [c for c in documents.columns if c not in ("score", "predicted", "evidence")]
     rows = documents.select(*[F.col(f"`{c}`") for c in kept])
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TermCounter(model.vocabulary)
+        model = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                found = [counter.counts(t) for t in some.column(kept.index(text)).to_pylist()]
-                yield _scored(some, model, [sorted(c) for c in found], [[c[t] for t in sorted(c)] for c in found])
+            for at in range(0, batch.num_rows, QUERIES):
+                some = batch.slice(at, QUERIES)
+                yield _scored(some, model, [model.counter.vector(t) for t in some.column(kept.index(text)).to_pylist()])
 
     schema = StructType(list(rows.schema.fields)).add("score", "double").add("predicted", "integer")
     return rows.mapInArrow(run, schema.add("evidence", DataType.fromDDL(_EVIDENCE)))
 
 
-def _scored(batch: pa.RecordBatch, model: ToxicityModel, terms: list, counts: list) -> pa.RecordBatch:
-    found = [model.score(t, c) for t, c in zip(terms, counts)]
+def _scored(batch: pa.RecordBatch, model: ToxicityModel, queries: list[tuple]) -> pa.RecordBatch:
+    found = model.score(queries)
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.float64())]))
     evidence = [[dict(zip(("doc_id", "similarity", "toxic"), e)) for e in f[1]] for f in found]
     return pa.RecordBatch.from_arrays(
