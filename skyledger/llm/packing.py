@@ -1,23 +1,25 @@
 """Mixture-controlled packing of tokenized documents into fixed windows.
 
-Every source is a queue of tokens. Deficit round-robin serves the queues: in each round a
-queue's deficit grows by its quantum, its target share of a window; it sends as many whole
-tokens as the deficit holds and carries the rest to the next round. Windows are cut from the
-stream that the rounds make, so every window holds the target proportions to within a token
-or two a source, whatever partition its documents come from.
-
-What a queue has sent after ``r`` rounds is ``floor((deficit + r * quantum) / UNIT)``. Where a
-token lands is therefore a function of its place in its queue alone, and tasks compute it
-without talking to each other: deficits carry across windows and partitions as numbers. The
-queue order is (partition, row) of the tokenized table; only sums per partition and source are
-needed to know a document's place, so the ids themselves are never shuffled.
+Every source is a queue of whole documents. Deficit round-robin serves the queues, a round a window: in
+each round a queue's deficit grows by its quantum, its target share of a window; it sends the documents at
+its head that the deficit covers and carries the rest to the next round. Windows are cut from the stream
+that the rounds make, so they hold the target proportions to within the document each queue still saves
+up for, whatever partition its documents come from; documents are cut only where a window ends.
+
+A document leaves in the first round whose deficits, added up, cover its queue up to its end. Its round
+is therefore a function of its place in its queue, and tasks compute it without talking to each other:
+deficits carry across windows and partitions as numbers. The queue order is (partition, row) of the
+tokenized table; sums per partition and source give a document's place. Its place in the stream is a running
+total over the documents by (round, source, row), summed within runs of ``ROUNDS`` rounds, which hold about as many
+tokens each, and over the totals of these runs. Only these numbers are sorted; ids are shuffled once.
 
 When a queue runs dry the others share its part from the next round on. Nothing is dropped:
 targets that the corpus cannot meet to the end hold as long as the queues last.
 
 Defined cases: a null text counts as empty and still has its end token; a null source is a
 queue of its own; repeated rows are packed as often as they occur; an empty table gives no
-pieces; other columns of the input are not looked at.
+pieces; strings of special tokens in a text are those tokens, as the library reads them by default; other
+columns of the input are not looked at.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import narrow
-from skyledger.llm.vocabulary import json_encoder
+from skyledger.llm.encoders import byte_level, byte_level_tokens
 from skyledger.session import stage_table
 
 WINDOW = 2048
@@ -38,6 +40,9 @@ END_ID = 1
 #: Deficits are integers of this many parts of a token: exact, and alike on every machine.
 UNIT_BITS = 16
 
+#: Rounds whose documents one task puts in order.
+ROUNDS = 64
+
 _TOKENS = "part int, row long, doc_id long, source string, tokens long, before long, ids binary"
 _PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -49,17 +54,15 @@ def tokenize(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        cache = json_encoder(tokenizer)
-        end = np.array([end_id], dtype=cache.id_type).tobytes()
+        part, encode, kind = TaskContext.get().partitionId(), byte_level(tokenizer, True), _id_type(tokenizer)
         sent: dict[str | None, int] = {}
         row = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
                 sources = some.column(1).to_pylist()
-                ids = [b"".join(found) + end for found in cache.lookup(some.column(2).to_pylist())]
-                counts = [len(one) // cache.id_type.itemsize for one in ids]
+                ids = [np.array([*encode(text or ""), end_id], kind).tobytes() for text in some.column(2).to_pylist()]
+                counts = [len(one) // kind.itemsize for one in ids]
                 before = []
                 for source, count in zip(sources, counts):
                     before.append(sent.get(source, 0))
@@ -81,19 +84,22 @@ def tokenize(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> Data
     return rows.mapInArrow(run, _TOKENS)
 
 
+def _id_type(tokenizer: str) -> np.dtype:
+    return np.dtype("<u2") if len(byte_level_tokens(tokenizer)) <= 1 << 16 else np.dtype("<u4")
+
+
 class Schedule:
-    """Where each token of each queue lands in the stream.
+    """The round in which a queue's deficits cover it up to some token.
 
     A phase is a run of rounds with the same queues; there are at most as many phases as
     queues. Everything here is as large as the number of sources squared, not the corpus.
     """
 
     def __init__(self, totals: Mapping[str | None, int], targets: Mapping[str | None, float] | None, window: int):
-        self.window = window
         self.sources = sorted(totals, key=lambda s: (s is None, s))
         left = [totals[s] for s in self.sources]
         share = [float((targets or totals).get(s) or 0) for s in self.sources]
-        n, stream = len(left), 0
+        n, passed = len(left), 0
         served, deficit = [0] * n, [0] * n
         self.phases: list[dict] = []
         while any(left):
@@ -104,77 +110,26 @@ class Schedule:
                 part = share[i] / whole if whole else 1 / len(active)
                 quantum[i] = max(1, round(part * window * (1 << UNIT_BITS)))
             rounds = min(-(-((left[i] << UNIT_BITS) - deficit[i]) // quantum[i]) for i in active)
-            self.phases.append({"served": served[:], "left": left[:], "quantum": quantum,
-                                "deficit": deficit[:], "stream": stream})
-            sent = [min(left[i], (deficit[i] + rounds * quantum[i]) >> UNIT_BITS) for i in range(n)]
-            deficit = [(deficit[i] + rounds * quantum[i] - (sent[i] << UNIT_BITS)) if left[i] > sent[i] else 0
+            self.phases.append({"served": served[:], "quantum": quantum, "deficit": deficit[:], "passed": passed})
+            covered = [min(left[i], (deficit[i] + rounds * quantum[i]) >> UNIT_BITS) for i in range(n)]
+            deficit = [(deficit[i] + rounds * quantum[i] - (covered[i] << UNIT_BITS)) if left[i] > covered[i] else 0
                        for i in range(n)]
-            served = [a + b for a, b in zip(served, sent)]
-            left = [a - b for a, b in zip(left, sent)]
-            stream += sum(sent)
-        self.stream = stream
+            served = [a + b for a, b in zip(served, covered)]
+            left = [a - b for a, b in zip(left, covered)]
+            passed += rounds
+        self.rounds = passed
         self.index = {source: i for i, source in enumerate(self.sources)}
 
-    def _sent(self, phase: dict, queue: int, rounds: np.ndarray) -> np.ndarray:
-        grown = (phase["deficit"][queue] + rounds * phase["quantum"][queue]) >> UNIT_BITS
-        return np.minimum(phase["left"][queue], grown)
-
-    def segments(self, source, first: np.ndarray, last: np.ndarray):
-        """For token ranges [first, last) of one queue: (which range, token, length, stream place)."""
-        queue, out = self.index[source], []
-        for k, phase in enumerate(self.phases):
-            if not phase["quantum"][queue]:
-                continue
-            low = phase["served"][queue]
-            high = self.phases[k + 1]["served"][queue] if k + 1 < len(self.phases) else low + phase["left"][queue]
-            a, b = np.maximum(first, low) - low, np.minimum(last, high) - low
-            some = np.nonzero(a < b)[0]
-            if not len(some):
-                continue
-            a, b = a[some], b[some]
-            quantum, deficit = phase["quantum"][queue], phase["deficit"][queue]
-            if quantum >= 1 << UNIT_BITS:  # every round sends some tokens
-                which, rounds = _ranges(_round(a + 1, deficit, quantum), _round(b, deficit, quantum) + 1)
-                start = np.maximum(self._sent(phase, queue, rounds - 1), a[which])
-                stop = np.minimum(self._sent(phase, queue, rounds), b[which])
-            else:  # rounds send a token at most
-                which, start = _ranges(a, b)
-                stop = start + 1
-                rounds = _round(stop, deficit, quantum)
-            place = phase["stream"] + start - self._sent(phase, queue, rounds - 1)
-            for other in range(len(self.sources)):
-                if phase["quantum"][other]:
-                    place += self._sent(phase, other, rounds if other < queue else rounds - 1)
-            out.append((some[which], start + low, stop - start, place))
-        return [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
-
-    def pieces(self, source, first: np.ndarray, last: np.ndarray):
-        """The segments, cut where a window ends; neighbours that meet in a window are one."""
-        which, token, length, place = self.segments(source, first, last)
-        part, window = _ranges(place // self.window, (place + length - 1) // self.window + 1)
-        start = np.maximum(place[part], window * self.window)
-        stop = np.minimum((place + length)[part], (window + 1) * self.window)
-        token, which = token[part] + start - place[part], which[part]
-        order = np.lexsort((token, which))
-        which, token, start, stop, window = (x[order] for x in (which, token, start, stop, window))
-        new = np.ones(len(which), bool)
-        new[1:] = (which[1:] != which[:-1]) | (window[1:] != window[:-1]) | (start[1:] != stop[:-1])
-        at = np.nonzero(new)[0]
-        ends = np.append(at[1:], len(which)) - 1
-        return which[at], token[at], stop[ends] - start[at], window[at], start[at] - window[at] * self.window
-
-
-def _round(tokens: np.ndarray, deficit: int, quantum: int) -> np.ndarray:
-    """The round after which a queue has sent so many tokens."""
-    return -((deficit - (tokens << UNIT_BITS)) // quantum)
-
-
-def _ranges(first: np.ndarray, stop: np.ndarray):
-    """All integers of [first, stop) of each pair, with the pair's index."""
-    count = stop - first
-    which = np.repeat(np.arange(len(first)), count)
-    skipped = np.repeat(np.cumsum(count) - count, count)
-    return which, first[which] + np.arange(len(which)) - skipped
+    def round_of(self, source, last: np.ndarray) -> np.ndarray:
+        """The round, from 1, that covers the first ``last`` tokens of a queue."""
+        queue, out = self.index[source], np.zeros(len(last), np.int64)
+        for phase in self.phases:
+            quantum = phase["quantum"][queue]
+            if quantum:
+                later = last > phase["served"][queue]
+                need = ((last[later] - phase["served"][queue]) << UNIT_BITS) - phase["deficit"][queue]
+                out[later] = phase["passed"] + np.maximum(1, -(-need // quantum))
+        return out
 
 
 def pack(
@@ -206,7 +161,7 @@ def pack_tokens(
     window: int = WINDOW,
     with_ids: bool = True,
 ) -> DataFrame:
-    """``pack`` over a written result of ``tokenize``: one pass, no shuffle of ids."""
+    """``pack`` over a written result of ``tokenize``."""
     sums = tokens.groupBy("part", "source").agg(F.sum("tokens").alias("tokens"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = stage_table(
@@ -215,37 +170,62 @@ def pack_tokens(
     totals = {r.source: r.tokens for r in starts.groupBy("source").agg(F.sum("tokens").alias("tokens")).collect()}
     schedule = Schedule(totals, targets, window)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = json_encoder(tokenizer).id_type
+    def rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                yield _cut(batch.slice(at, 1024), schedule, kind, with_ids)
+            last, found = batch.column("last").to_numpy(), np.zeros(batch.num_rows, np.int64)
+            of = np.array([schedule.index[s] for s in batch.column("source").to_pylist()], np.int64)
+            for queue in np.unique(of):
+                mine = of == queue
+                found[mine] = schedule.round_of(schedule.sources[queue], last[mine])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("part"), batch.column("row"), batch.column("tokens"), pa.array(found), pa.array(of)],
+                names=["part", "row", "tokens", "round", "queue"])
 
     placed = tokens.join(
         starts.select(F.col("part").alias("p"), F.col("source").alias("s"), "first"),
         (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")),
-    )
-    columns = ["doc_id", "source", "tokens", (F.col("first") + F.col("before")).alias("first")]
-    return placed.select(*columns, *["ids"] * with_ids).mapInArrow(run, _PIECES)
-
-
-def _cut(batch: pa.RecordBatch, schedule: Schedule, kind: np.dtype, with_ids: bool) -> pa.RecordBatch:
-    counts = batch.column("tokens").to_numpy()
-    first = batch.column("first").to_numpy()
-    rows_of: dict[str | None, list[int]] = {}
-    for i, source in enumerate(batch.column("source").to_pylist()):
-        rows_of.setdefault(source, []).append(i)
-    found = []
-    for source, rows in rows_of.items():
-        at = np.array(rows)
-        which, token, length, sequence, offset = schedule.pieces(source, first[at], first[at] + counts[at])
-        found.append((at[which], token - first[at[which]], length, sequence, offset))
-    row, start, length, sequence, offset = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((start, row))
-    row, start, length, sequence, offset = (x[order] for x in (row, start, length, sequence, offset))
+    ).select("part", "row", "source", "tokens", (F.col("first") + F.col("before") + F.col("tokens")).alias("last"))
+    served = placed.mapInArrow(rounds, "part int, row long, tokens long, round long, queue long").withColumn(
+        "run", F.floor(F.col("round") / ROUNDS))
+    order = Window.partitionBy("run").orderBy("round", "queue", "part", "row").rowsBetween(Window.unboundedPreceding, -1)
+    within = stage_table(served.select("part", "row", "run", "tokens", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("within")), "order")
+    stream = within.join(_run_starts(within), "run").select(
+        F.col("part").alias("p"), F.col("row").alias("r"), (F.col("within") + F.col("start")).alias("place"))
+    columns = ["doc_id", "tokens", "place", *["ids"] * with_ids]
+    whole = tokens.join(stream, (F.col("part") == F.col("p")) & (F.col("row") == F.col("r"))).select(*columns)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = _id_type(tokenizer)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                yield _cut(batch.slice(at, 1024), window, kind, with_ids)
+
+    return whole.mapInArrow(cut, _PIECES)
+
+
+def _run_starts(within: DataFrame, group: int = 4096) -> DataFrame:
+    """run and the tokens before it: running totals within groups of runs, and over the few groups."""
+    runs = within.groupBy("run").agg(F.sum("tokens").alias("tokens")).withColumn("group", F.floor(F.col("run") / group))
+    before = lambda w: F.coalesce(F.sum("tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = runs.groupBy("group").agg(F.sum("tokens").alias("tokens"))
+    groups = groups.select("group", before(Window.orderBy("group")).alias("earlier"))
+    return runs.withColumn("start", before(Window.partitionBy("group").orderBy("run"))).join(groups, "group").select(
+        "run", (F.col("start") + F.col("earlier")).alias("start"))
+
+
+def _cut(batch: pa.RecordBatch, window: int, kind: np.dtype, with_ids: bool) -> pa.RecordBatch:
+    """Pieces of documents where their places in the stream cross the end of a window."""
+    counts, place = batch.column("tokens").to_numpy(), batch.column("place").to_numpy()
+    first, stop = place // window, (place + counts - 1) // window + 1
+    n = stop - first
+    row = np.repeat(np.arange(len(n)), n)
+    sequence = np.repeat(first - np.cumsum(n) + n, n) + np.arange(len(row))
+    begin = np.maximum(place[row], sequence * window)
+    length = np.minimum((place + counts)[row], (sequence + 1) * window) - begin
+    start, offset = begin - place[row], begin - sequence * window
     if with_ids:
         whole = [np.frombuffer(x, kind).astype("<u4").tobytes() for x in batch.column("ids").to_pylist()]
-        ids = [whole[r][4 * a:4 * (a + n)] for r, a, n in zip(row.tolist(), start.tolist(), length.tolist())]
+        ids = [whole[r][4 * a:4 * (a + m)] for r, a, m in zip(row.tolist(), start.tolist(), length.tolist())]
     else:
         ids = [None] * len(row)
     return pa.RecordBatch.from_arrays(

@@ -3,12 +3,8 @@
 from __future__ import annotations
 
 import base64
-import os
-import re
 from functools import lru_cache
 
-import numpy as np
-
 from skyledger.llm.chunks import PieceCache
 
 
@@ -35,44 +31,3 @@ def rank_counter(path: str) -> PieceCache:
         "public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(path), special_tokens={}
     )
     return PieceCache(lambda new: [len(encoding.encode_ordinary(piece)) for piece in new])
-
-
-@lru_cache(maxsize=2)
-def json_encoder(path: str) -> PieceCache:
-    """Little-endian ids (``id_type(path)``) of pieces, by the library that reads JSON files."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    kind = np.dtype("<u2") if tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-
-    sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
-    for token, at in tokenizer.get_vocab().items():
-        sizes[at] = len(token)  # a character of a byte-level token is a byte
-
-    whole = re.compile(r" \S(.*\S)?\Z", re.DOTALL)
-
-    def encode(new: list[str]) -> list[bytes]:
-        """Pieces of one space and then no white space at their ends stay pieces when joined, so
-        many of them are one text to the library; the bytes of the tokens tell them apart."""
-        out: dict[str, bytes] = {}
-        joined = list(filter(whole.match, new))
-        for at in range(0, len(joined), 4096):
-            some = joined[at:at + 4096]
-            ids = np.array(tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, dtype=kind)
-            token_ends = np.cumsum(sizes[ids])
-            piece_ends = np.cumsum([len(p.encode()) for p in some])
-            stops = np.searchsorted(token_ends, piece_ends) + 1
-            if not np.array_equal(token_ends[stops - 1], piece_ends):
-                raise ValueError("a token runs over the end of a piece")
-            flat, width = ids.tobytes(), kind.itemsize
-            out.update(zip(some, (flat[a * width:b * width] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist()))))
-        rest = [p for p in new if p not in out]
-        found = tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        out.update(zip(rest, (np.array(one.ids, dtype=kind).tobytes() for one in found)))
-        return [out[p] for p in new]
-
-    cache = PieceCache(encode)
-    cache.id_type = kind
-    return cache
