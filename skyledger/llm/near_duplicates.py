@@ -113,8 +113,8 @@ def _bytes_of(column: pa.Array) -> list:
     return column.cast(pa.binary()).to_pylist()
 
 
-def shingle_sets(documents: DataFrame, words: int = WORDS, k: int = SKETCH) -> DataFrame:
-    """Size, key and sketch of each document's set, under a number of its own."""
+def shingle_sets(documents: DataFrame, words: int = WORDS, k: int = SKETCH, key: str | None = None) -> DataFrame:
+    """Size, key and sketch of each document's set, under a number of its own: the column ``key``, if there is one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -125,7 +125,7 @@ def shingle_sets(documents: DataFrame, words: int = WORDS, k: int = SKETCH) -> D
                 some = batch.slice(at, 512)
                 sets = [shingle_hashes(text or b"", words) for text in _bytes_of(some.column(1))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(row, row + len(sets)), pa.int64()), some.column(0),
+                    [pa.array(range(row, row + len(sets)), pa.int64()) if key is None else some.column(2), some.column(0),
                      pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([_key(s) if len(s) else None for s in sets], pa.binary()),
                      pa.array([s[:k] for s in sets], pa.list_(pa.int64()))],
@@ -133,7 +133,8 @@ def shingle_sets(documents: DataFrame, words: int = WORDS, k: int = SKETCH) -> D
                 )
                 row += len(sets)
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    keys = [] if key is None else [F.col(f"`{key}`").cast("long").alias("row")]
+    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keys)
     return rows.mapInArrow(run, _SETS)
 
 
@@ -217,10 +218,13 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def near_duplicates(documents: DataFrame, *, percent: int = 85, words: int = WORDS, k: int = SKETCH) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, and ``first``: true for one row of each component.
-    Sets are linked if 100 * intersection >= percent * union."""
-    sets = stage_table(shingle_sets(documents, words, k), "sets")
+def near_duplicates(
+    documents: DataFrame, *, percent: int = 85, words: int = WORDS, k: int = SKETCH, key: str | None = None
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, ``first``: true for one row of each component, and ``row``.
+    Sets are linked if 100 * intersection >= percent * union. ``key`` names a column of distinct integers
+    that comes back as ``row``; without one, rows are numbered."""
+    sets = stage_table(shingle_sets(documents, words, k, key), "sets")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     # The sketch comes with the representative: an aggregate moves the same bytes at every size, a join
     # back to the sets would be broadcast while small and move all of them later.
@@ -269,7 +273,7 @@ def near_duplicates(documents: DataFrame, *, percent: int = 85, words: int = WOR
     return joined.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
-        F.when(alone, True).otherwise(F.col("first.row") == F.col("row")).alias("first"),
+        F.when(alone, True).otherwise(F.col("first.row") == F.col("row")).alias("first"), "row",
     )
 
 
