@@ -1,4 +1,8 @@
-"""Documents to packed training windows: toxic ones and copies go, secrets are masked, the rest is packed."""
+"""Documents to packed training windows: toxic ones and copies go, secrets are masked, the rest is packed.
+
+All stages: null ids, null and empty texts stay unless a stage says otherwise; an empty table gives an empty
+one; columns beyond doc_id, source and text pass through untouched, whatever they are called.
+"""
 
 from __future__ import annotations
 
@@ -17,32 +21,48 @@ from skyledger.session import stage_table
 SIMILAR_PERCENT = 80
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names that no operator uses, and the new name of each column."""
+    names = {name: f"in_{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def _back(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(new).alias(name) for name, new in names.items()])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the examples do not call toxic."""
+    """Documents that the examples do not call toxic. Rows with one text go or stay together; texts
+    without a known term are judged like the examples without any."""
     model, _ = fit(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model).where("predicted = 0").select(*docs.columns)
+    rows, names = _apart(docs)
+    return _back(score(rows, model, text=names["text"]).where("predicted = 0"), names)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates. Rows with the same doc_id go or stay together;
-    rows without one stay."""
-    found = near_duplicates(docs, percent=SIMILAR_PERCENT).where("doc_id is not null")
-    gone = found.groupBy("doc_id").agg(F.max("first").alias("stays")).where("not stays").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near-duplicates, that of the smallest doc_id; ids may be null or repeated.
+    Rows without words are no copies of each other and stay."""
+    rows, names = _apart(docs)
+    rows = stage_table(rows.withColumn("key", F.monotonically_increasing_id()), "keyed")
+    texts = rows.select(F.col(names["doc_id"]).alias("doc_id"), F.col(names["text"]).alias("text"), "key")
+    gone = near_duplicates(texts, percent=SIMILAR_PERCENT, key="key").where("not first").select(F.col("row").alias("key"))
+    return _back(rows.join(gone, "key", "left_anti"), names)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in place of each secret; n_chars follows the text."""
-    clean = redact(scan(docs))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
+    """All documents, with a mark in place of each secret; n_chars, if there is one, follows the text."""
+    rows, names = _apart(docs)
+    clean = redact(scan(rows, text=names["text"]), text=names["text"])
+    if "n_chars" in names:
+        count, kind = names["n_chars"], docs.schema["n_chars"].dataType
         clean = clean.withColumn(
-            "n_chars", F.when(F.size("secrets") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return clean.select(*docs.columns)
+            count, F.when(F.size("secrets") > 0, F.length(names["text"]).cast(kind)).otherwise(F.col(count)))
+    return _back(clean, names)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in windows of 2048 tokens, each source at its share of the corpus."""
+    """Pieces of the documents in windows of 2048 tokens, each source at its share of the corpus. An empty
+    document is its end token; repeated rows are packed as often as they occur."""
     return digest(pack(docs, public_path("byte_bpe_50k.json")))
 
 
