@@ -167,40 +167,60 @@ class Examples:
             else:
                 self.empty = (float(entry[0]), float(entry[1]), entry[2])
         seen = np.bincount(np.concatenate([np.asarray(e[3], np.int64) for e in kept] or [np.zeros(0, np.int64)]), minlength=len(idf))
-        #: The row of each term of many examples, -1 for the others.
-        self.row = np.full(len(idf), -1)
-        often = np.nonzero(seen > DENSE * len(kept))[0]
-        self.row[often] = np.arange(len(often))
-        kept = [kept[i] for i in self._order(kept, len(often))]
-        self.size = -(-len(kept) // BLOCK) * BLOCK
-        pad = [0.0] * (self.size - len(kept))
-        self.clean, self.toxic = (np.array([e[i] for e in kept] + pad, float) for i in (0, 1))
+        #: The terms of many examples.
+        self.often = np.nonzero(seen > DENSE * len(kept))[0]
+        kept = [kept[i] for i in self._order(kept)]
         self.ids = [e[2] for e in kept]
-        self.dense = np.zeros((len(often), self.size))
-        entry, term, value = [], [], []
-        for i, e in enumerate(kept):
-            t, w = np.asarray(e[3], np.int64), self.weights(e[3], e[4])
-            at = self.row[t]
-            self.dense[at[at >= 0], i] = w[at >= 0]
-            entry.append(np.full(int((at < 0).sum()), i, np.int32))
-            term.append(t[at < 0].astype(np.int32))
-            value.append(w[at < 0])
-        term = np.concatenate(term) if term else np.zeros(0, np.int32)
-        order = np.argsort(term, kind="stable")
-        self.entry = (np.concatenate(entry) if entry else term)[order].astype(np.int64)
-        self.value = (np.concatenate(value) if value else np.zeros(0))[order]
-        self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
-        self.most = self.dense.reshape(len(often), self.size // BLOCK, BLOCK).max(2) if self.size else self.dense
-        self.often = often
-        self.voting = np.nonzero(self.steer[often] > 0)[0]
-
-    def _order(self, kept: list, rows: int) -> list[int]:
+        self.totals = np.array([e[:2] for e in kept], np.int64).reshape(-1, 2)
+        self.sizes = np.array([len(e[3]) for e in kept], np.int64)
+        flat = lambda at: np.concatenate([np.asarray(e[at], np.int64) for e in kept] or [np.zeros(0, np.int64)])
+        self.terms, self.counts = flat(3).astype(np.int32), flat(4)
+        self.counts = self.counts.astype(np.min_scalar_type(int(self.counts.max(initial=1))))
+        self._pad()
+
+    #: All that is shipped; who searches builds the lists from it.
+    _SHIPPED = ("idf", "weight", "k", "steer", "empty", "often", "ids", "totals", "sizes", "terms", "counts")
+
+    def __getstate__(self):
+        return {name: self.__dict__[name] for name in self._SHIPPED}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._pad()
+
+    def _pad(self) -> None:
+        """Fill the last block with entries that stand for no example."""
+        self.size = -(-len(self.sizes) // BLOCK) * BLOCK
+        none = np.zeros(self.size - len(self.sizes), np.int64)
+        self.clean, self.toxic = (np.append(self.totals[:, i], none).astype(float) for i in (0, 1))
+
+    def _build(self) -> None:
+        """Posting lists of the terms of few examples, dense rows and block maxima of the others."""
+        entries, many = len(self.sizes), len(self.often)
+        self.row = np.full(len(self.idf), -1)
+        self.row[self.often] = np.arange(many)
+        value = (1 + np.log(self.counts.astype(float))) * self.idf[self.terms]
+        if entries:
+            starts = np.cumsum(self.sizes) - self.sizes
+            value /= np.repeat(np.sqrt(np.add.reduceat(value * value, starts)), self.sizes)
+        entry, row = np.repeat(np.arange(entries), self.sizes), self.row[self.terms]
+        self.dense = np.zeros((many, self.size))
+        self.dense[row[row >= 0], entry[row >= 0]] = value[row >= 0]
+        few = np.nonzero(row < 0)[0]
+        few = few[np.argsort(self.terms[few], kind="stable")]
+        self.entry, self.value = entry[few], value[few]
+        self.first = np.searchsorted(self.terms[few], np.arange(len(self.idf) + 1))
+        self.most = self.dense.reshape(many, self.size // BLOCK, BLOCK).max(2) if self.size else self.dense
+        self.voting = np.nonzero(self.steer[self.often] > 0)[0]
+
+    def _order(self, kept: list) -> list[int]:
         """Entries with like weights of frequent terms next to each other, long ones after short ones."""
-        if not rows or len(kept) <= BLOCK:
+        if not len(self.often) or len(kept) <= BLOCK:
             return list(range(len(kept)))
-        points = np.zeros((len(kept), rows))
+        points, row = np.zeros((len(kept), len(self.often))), np.full(len(self.idf), -1)
+        row[self.often] = np.arange(len(self.often))
         for i, e in enumerate(kept):
-            at = self.row[np.asarray(e[3], np.int64)]
+            at = row[np.asarray(e[3], np.int64)]
             points[i, at[at >= 0]] = self.weights(e[3], e[4])[at >= 0]
         points -= points.mean(0)
         axes = np.linalg.eigh(points.T @ points)[1][:, -3:]
@@ -215,6 +235,8 @@ class Examples:
     def search(self, queries: list[tuple]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(entries, similarities, vote weights) of each query's (terms, counts), none of them empty, best
         first: all entries at least as near as the one after the k-th."""
+        if "voting" not in self.__dict__:
+            self._build()
         n, blocks = len(queries), self.size // BLOCK
         scores, dense, lists = np.zeros((n, self.size)), np.zeros((n, len(self.often))), []
         for i, (terms, counts) in enumerate(queries):
@@ -321,9 +343,16 @@ class ToxicityModel:
         self.vocabulary, self.examples, self.share, self.curve = vocabulary, examples, share, curve
         self._known: dict[bytes, tuple] = {}
         self._counter: TermCounter | None = None
+        self._shared = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_known": {}, "_counter": None}
+        return {**self.__dict__, "_known": {}, "_counter": None, "_shared": None}
+
+    def shared(self, spark: SparkSession):
+        """The model as one broadcast, made once: it does not ship the curve, which may come later."""
+        if self._shared is None:
+            self._shared = spark.sparkContext.broadcast(self)
+        return self._shared
 
     @property
     def counter(self) -> TermCounter:
@@ -345,7 +374,7 @@ class ToxicityModel:
         weights = np.array(self.examples.weight)[toxic]
         self.curve = _logistic(_logit(votes), toxic.astype(float), weights)
 
-    def score(self, queries: list[tuple]) -> list[tuple[float, list]]:
+    def score(self, queries: list[tuple], curve: tuple[float, float]) -> list[tuple[float, list]]:
         """(score, evidence) of each (terms, counts)."""
         if self.examples is None:
             return [(self.share, [])] * len(queries)
@@ -357,9 +386,9 @@ class ToxicityModel:
         found = iter(self.examples.search([q for q in new.values() if len(q[0])]))
         for key, q in new.items():
             near = next(found) if len(q[0]) else None
-            z = self.curve[0] * float(_logit(np.array(self.examples.share(near)))) + self.curve[1]
-            self._known[key] = (1 / (1 + math.exp(-max(-50.0, min(50.0, z)))), self.examples.evidence(near))
-        return [self._known[key] for key in keys]
+            self._known[key] = (float(_logit(np.array(self.examples.share(near)))), self.examples.evidence(near))
+        risen = (curve[0] * vote + curve[1] for vote, _ in map(self._known.__getitem__, keys))
+        return [(1 / (1 + math.exp(-max(-50.0, min(50.0, z)))), self._known[key][1]) for key, z in zip(keys, risen)]
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -401,7 +430,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, examples: int = EXAMPLES):
     sums = {r.toxic: r.n for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total = sum(sums.values())
     share = sums.get(1, 0) / total if total else 0.0
-    toxic_of = {r.doc_id: r.toxic for r in taught.select("doc_id", "toxic").collect()}
+    toxic_of = {r.doc_id: r.toxic for r in taught.select("doc_id", "toxic").collect()}  # 2 * examples at most
     have = Counter(toxic_of.values())
     if not terms or not have[0] or not have[1]:
         return ToxicityModel(terms, None, share), vectors
@@ -426,10 +455,10 @@ def fit(documents: DataFrame, labels: DataFrame, *, examples: int = EXAMPLES):
 
 def _example_votes(vectors: DataFrame, model: ToxicityModel, toxic_of: dict) -> DataFrame:
     """vote and toxic of each example, the vote without itself; at most two classes of examples."""
-    shared = vectors.sparkSession.sparkContext.broadcast((model, toxic_of))
+    shared = model.shared(vectors.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, toxic_of = shared.value
+        model = shared.value
         for batch in batches:
             toxic = [toxic_of[i] for i in batch.column("doc_id").to_pylist()]
             votes = model.votes([(*q, y) for q, y in zip(_queries(batch), toxic)])
@@ -445,13 +474,13 @@ def _queries(batch: pa.RecordBatch) -> list[tuple]:
 
 def score_vectors(vectors: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, score, predicted and evidence for term counts of documents."""
-    shared = vectors.sparkSession.sparkContext.broadcast(model)
+    shared, curve = model.shared(vectors.sparkSession), model.curve
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, QUERIES):
                 some = batch.slice(at, QUERIES)
-                yield _scored(some.select(["doc_id"]), shared.value, _queries(some))
+                yield _scored(some.select(["doc_id"]), shared.value, curve, _queries(some))
 
     return vectors.mapInArrow(run, f"doc_id long, score double, predicted int, evidence {_EVIDENCE}")
 
@@ -460,21 +489,21 @@ def score(documents: DataFrame, model: ToxicityModel, *, text: str = "text") ->
     """``documents`` with score, predicted and evidence, in one pass over the texts."""
     kept = [c for c in documents.columns if c not in ("score", "predicted", "evidence")]
     rows = documents.select(*[F.col(f"`{c}`") for c in kept])
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared, curve = model.shared(documents.sparkSession), model.curve
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, QUERIES):
                 some = batch.slice(at, QUERIES)
-                yield _scored(some, model, [model.counter.vector(t) for t in some.column(kept.index(text)).to_pylist()])
+                yield _scored(some, model, curve, [model.counter.vector(t) for t in some.column(kept.index(text)).to_pylist()])
 
     schema = StructType(list(rows.schema.fields)).add("score", "double").add("predicted", "integer")
     return rows.mapInArrow(run, schema.add("evidence", DataType.fromDDL(_EVIDENCE)))
 
 
-def _scored(batch: pa.RecordBatch, model: ToxicityModel, queries: list[tuple]) -> pa.RecordBatch:
-    found = model.score(queries)
+def _scored(batch: pa.RecordBatch, model: ToxicityModel, curve: tuple, queries: list[tuple]) -> pa.RecordBatch:
+    found = model.score(queries, curve)
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.float64())]))
     evidence = [[dict(zip(("doc_id", "similarity", "toxic"), e)) for e in f[1]] for f in found]
     return pa.RecordBatch.from_arrays(
