@@ -30,11 +30,12 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
@@ -55,7 +56,7 @@ LEAST_APART = 0.5
 SMOOTHING = 0.01
 _BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHED = 150_000
+_CACHED = 100_000
 _EVIDENCE = "array<struct<doc_id:long,similarity:double,toxic:double>>"
 
 
@@ -68,32 +69,48 @@ def terms_of(chunk: str) -> list[str]:
     return out
 
 
+def term_hashes(terms: Iterable[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(term) for term in terms), np.uint64)
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents whose labels are never learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 class TermCounter:
-    """Counts vocabulary terms of whole texts, with a cache of chunks."""
+    """Counts vocabulary terms of whole texts, with a cache of chunks. The vocabulary is held as 64-bit
+    hashes, a tenth of what its strings take; among a million terms a clash has odds of one in 10^7."""
 
-    def __init__(self, vocabulary: list[str]):
-        self.index = {term: i for i, term in enumerate(vocabulary)}
+    def __init__(self, vocabulary: Sequence[str] | np.ndarray):
+        hashes = vocabulary if isinstance(vocabulary, np.ndarray) else term_hashes(vocabulary)
+        self._order = np.argsort(hashes, kind="stable")
+        self._sorted = hashes[self._order]
         self._known: dict[str, tuple[int, ...]] = {}
 
-    def _ids(self, chunk: str) -> tuple[int, ...]:
-        ids = self._known.get(chunk)
-        if ids is None:
-            if len(self._known) > _CACHED:
-                self._known.clear()
-            ids = tuple(self.index[t] for t in terms_of(chunk) if t in self.index)
-            if len(chunk) <= 48:
-                self._known[chunk] = ids
-        return ids
+    def _learn(self, chunks: list[str]) -> None:
+        if len(self._known) + len(chunks) > _CACHED:
+            self._known.clear()
+        terms = [terms_of(chunk) for chunk in chunks]
+        hashes = term_hashes(chain.from_iterable(terms))
+        at = np.minimum(np.searchsorted(self._sorted, hashes), max(0, len(self._sorted) - 1))
+        known = self._sorted[at] == hashes if len(self._sorted) else np.zeros(len(hashes), bool)
+        ids = np.where(known, self._order[at] if len(self._sorted) else 0, -1).tolist()
+        end = 0
+        for chunk, some in zip(chunks, terms):
+            self._known[chunk] = tuple(i for i in ids[end:end + len(some)] if i >= 0)
+            end += len(some)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, counts) of a text, terms in order."""
         chunks = Counter((text or "").split())
-        ids = [self._ids(chunk) for chunk in chunks]
+        new = [chunk for chunk in chunks if chunk not in self._known]
+        if new:
+            self._learn(new if len(self._known) + len(new) <= _CACHED else list(chunks))
+        ids = [self._known[chunk] for chunk in chunks]
+        for chunk in new:
+            if len(chunk) > 48:
+                del self._known[chunk]
         terms = np.fromiter(chain.from_iterable(ids), np.int64)
         times = np.repeat(np.fromiter(chunks.values(), np.int64, len(ids)), np.fromiter(map(len, ids), np.int64, len(ids)))
         order = np.argsort(terms, kind="stable")
@@ -107,9 +124,10 @@ class TermCounter:
 
 def term_vectors(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
     """doc_id and the counts of vocabulary terms of each whole text."""
+    hashes = term_hashes(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TermCounter(vocabulary)
+        counter = TermCounter(hashes)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
@@ -197,17 +215,17 @@ class Examples:
     def _build(self) -> None:
         """Posting lists of the terms of few examples, dense rows and block maxima of the others."""
         entries, many = len(self.sizes), len(self.often)
-        self.row = np.full(len(self.idf), -1)
+        self.row = np.full(len(self.idf), -1, np.int32)
         self.row[self.often] = np.arange(many)
         value = (1 + np.log(self.counts.astype(float))) * self.idf[self.terms]
         if entries:
             starts = np.cumsum(self.sizes) - self.sizes
             value /= np.repeat(np.sqrt(np.add.reduceat(value * value, starts)), self.sizes)
-        entry, row = np.repeat(np.arange(entries), self.sizes), self.row[self.terms]
+        entry, row = np.repeat(np.arange(entries, dtype=np.int32), self.sizes), self.row[self.terms]
         self.dense = np.zeros((many, self.size))
         self.dense[row[row >= 0], entry[row >= 0]] = value[row >= 0]
         few = np.nonzero(row < 0)[0]
-        few = few[np.argsort(self.terms[few], kind="stable")]
+        few = few[np.argsort(self.terms[few], kind="stable")].astype(np.int32)
         self.entry, self.value = entry[few], value[few]
         self.first = np.searchsorted(self.terms[few], np.arange(len(self.idf) + 1))
         self.most = self.dense.reshape(many, self.size // BLOCK, BLOCK).max(2) if self.size else self.dense
@@ -341,12 +359,13 @@ class ToxicityModel:
 
     def __init__(self, vocabulary: list[str], examples: Examples | None, share: float, curve=(1.0, 0.0)):
         self.vocabulary, self.examples, self.share, self.curve = vocabulary, examples, share, curve
+        self.hashes = term_hashes(vocabulary)
         self._known: dict[bytes, tuple] = {}
         self._counter: TermCounter | None = None
         self._shared = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_known": {}, "_counter": None, "_shared": None}
+        return {**self.__dict__, "vocabulary": None, "_known": {}, "_counter": None, "_shared": None}
 
     def shared(self, spark: SparkSession):
         """The model as one broadcast, made once: it does not ship the curve, which may come later."""
@@ -357,7 +376,7 @@ class ToxicityModel:
     @property
     def counter(self) -> TermCounter:
         if self._counter is None:
-            self._counter = TermCounter(self.vocabulary)
+            self._counter = TermCounter(self.hashes)
         return self._counter
 
     def votes(self, queries: list[tuple]) -> list[float]:
