@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.evaluation import LABEL, PREDICTED, PROBABILITY
 from skyledger.operators.flights import FLIGHT_KEY
+from skyledger.operators.prefix import running_totals
 
 SMALLEST_SHARE = 0.0001  # stands for an empty bin, so that its logarithm exists
 DRIFT_LIMIT = 0.2
@@ -94,6 +95,65 @@ def categorical_drift(
     return drift(df, current, texts=features, limit=limit)
 
 
+def distribution_distance(df: DataFrame, current: Column, numbers: Sequence[str]) -> DataFrame:
+    """One row per number: the two-sample Kolmogorov-Smirnov distance between reference and current rows,
+    without bins: the largest difference of their cumulative shares at any value. NULLs are left out; the
+    distance is NULL unless both sides have values. One running total over the distinct values."""
+    values = df.select(current.alias("_current"), F.explode(F.array(*[
+        F.struct(F.lit(n).alias("feature"), F.col(n).cast("double").alias("value")) for n in numbers
+    ])).alias("v")).select("_current", "v.*").where("value is not null")
+    levels = values.groupBy("feature", "value").agg(
+        F.count_if(~F.col("_current")).alias("before"), F.count_if("_current").alias("now"))
+    running = running_totals(levels, ["feature", "value"], ["before", "now"])
+    # A feature's own totals begin where the running ones stand at its least value.
+    spans = levels.groupBy("feature").agg(F.sum("before").alias("n_before"), F.sum("now").alias("n_now"))
+    begun = running.groupBy("feature").agg(F.min("before_before").alias("b0"), F.min("before_now").alias("n0"))
+    wide = lambda c: F.expr(c).cast("decimal(19,0)")
+    apart = F.abs(wide("before_before + before - b0") * wide("n_now") - wide("before_now + now - n0") * wide("n_before"))
+    return running.join(spans, "feature").join(begun, "feature").groupBy("feature", "n_before", "n_now").agg(
+        F.max(apart).alias("_apart")
+    ).select(
+        "feature", F.col("n_before").alias("reference_rows"), F.col("n_now").alias("current_rows"),
+        F.try_divide(F.col("_apart").cast("double"), (wide("n_before") * wide("n_now")).cast("double")).alias("distance"),
+    )
+
+
+def error_alarms(
+    predictions: DataFrame, labels: DataFrame, *, tolerated_permille: int, trigger: int, quiet_days: int
+) -> DataFrame:
+    """One row per day on which labels became known: how many predictions they judge, how many were wrong,
+    the detector's statistic and whether it calls for retraining.
+
+    ``labels`` come later than predictions and carry ``known_on``. The detector sums, day after day, a
+    thousand times the errors less the tolerated ones, never below 0. Above ``trigger`` it raises an
+    alarm, starts again from 0 and rests for ``quiet_days``. It folds one row a day, so what is gathered
+    grows with the calendar, not with the flights.
+    """
+    known = labels.select(*[F.col(c).alias(f"_{c}") for c in FLIGHT_KEY], LABEL, "known_on")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FLIGHT_KEY]
+    daily = predictions.select(*FLIGHT_KEY, PREDICTED).join(known, same).groupBy("known_on").agg(
+        F.count("*").alias("evaluated"), F.count_if(F.col(PREDICTED) != F.col(LABEL)).alias("errors"))
+    days = daily.agg(F.array_sort(F.collect_list(F.struct("known_on", "evaluated", "errors"))).alias("days"))
+
+    def step(state: Column, day: Column) -> Column:
+        excess = day["errors"] * 1000 - day["evaluated"] * tolerated_permille
+        resting = F.coalesce(F.datediff(day["known_on"], state["alarm_on"]) <= quiet_days, F.lit(False))
+        grown = F.when(resting, F.lit(0).cast("bigint")).otherwise(F.greatest(F.lit(0), state["statistic"] + excess))
+        alarm = grown > trigger
+        row = F.struct(day["known_on"].alias("known_on"), day["evaluated"].alias("evaluated"), day["errors"].alias("errors"),
+                       grown.alias("statistic"), alarm.alias("retrain"))
+        return F.struct(
+            F.when(alarm, F.lit(0).cast("bigint")).otherwise(grown).alias("statistic"),
+            F.when(alarm, day["known_on"]).otherwise(state["alarm_on"]).alias("alarm_on"),
+            F.concat(state["rows"], F.array(row)).alias("rows"),
+        )
+
+    rows = "array<struct<known_on: date, evaluated: bigint, errors: bigint, statistic: bigint, retrain: boolean>>"
+    start = F.struct(F.lit(0).cast("bigint").alias("statistic"), F.lit(None).cast("date").alias("alarm_on"),
+                     F.array().cast(rows).alias("rows"))
+    return days.select(F.explode(F.aggregate("days", start, step, lambda s: s["rows"])).alias("r")).select("r.*")
+
+
 def _mean(value: Column) -> Column:
     """The mean of a share, exact to its ninth decimal: the sum is of integers, so its order
     does not matter."""

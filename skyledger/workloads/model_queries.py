@@ -189,3 +189,27 @@ def predictions(spark, sf_dir):
     return conform(tables.read("gold.ml_predictions"), contract("gold.ml_predictions").schema).drop(
         "prediction_timestamp"
     )
+
+
+@query
+def baseline_area(spark, sf_dir):
+    """How well the trailing late share of a route orders late flights before others."""
+    return evaluation.rank_sums(_baseline(spark, sf_dir))
+
+
+@query
+def drift_ks(spark, sf_dir):
+    rows = add_temporal(valid(spark, sf_dir)).select(
+        "flight_date", "departure_delay_minutes", "arrival_delay_minutes", "distance_miles", "dep_hour")
+    current = F.col("flight_date") >= F.lit(DRIFT_START).cast("date")
+    return monitoring.distribution_distance(rows, current, rows.columns[1:])
+
+
+@query
+def late_label_alarms(spark, sf_dir):
+    """Predictions are one table, labels another that arrives days later, a carrier after the other."""
+    predictions = stage_table(_baseline(spark, sf_dir).select(*FLIGHT_KEY, "predicted_delayed"), "predictions")
+    known_on = F.date_add("flight_date", 1 + F.coalesce(F.ascii("reporting_airline"), F.lit(0)) % 7)
+    labels = stage_table(valid(spark, sf_dir).select(
+        *FLIGHT_KEY, delay_label(F.col("arrival_delay_minutes")).alias("is_delayed"), known_on.alias("known_on")), "labels")
+    return monitoring.error_alarms(predictions, labels, tolerated_permille=250, trigger=20_000, quiet_days=30)

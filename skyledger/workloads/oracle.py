@@ -516,3 +516,64 @@ measured AS (SELECT feature, CASE WHEN feature IN {_DRIFT_NUMBERS} THEN 'psi' EL
       ELSE round(sum(abs(q - p)) / 2, 6) END AS distance
   FROM shares GROUP BY feature)
 SELECT *, distance > 0.2 AS drifted FROM measured"""
+
+
+SQL["catalog_replace"] = f"""WITH {_ORDERS}
+SELECT * REPLACE (CASE WHEN batch_id IN ('b1995', 'b1996') THEN CAST(0 AS DOUBLE) ELSE o_totalprice END
+  AS o_totalprice) FROM batches WHERE batch_id <> 'b1997'"""
+
+SQL["catalog_overwrite"] = f"""WITH {_ORDERS}
+SELECT batch_id, count(*) AS orders, CAST(sum(o_custkey) AS BIGINT) AS customers
+FROM batches WHERE o_orderstatus <> 'P' GROUP BY batch_id"""
+
+SQL["column_list_insert"] = """SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal,
+  c_mktsegment FROM customer"""
+
+SQL["dense_keys"] = """SELECT c_custkey, c_mktsegment, row_number() OVER (
+  ORDER BY c_mktsegment NOT IN ('BUILDING', 'MACHINERY'), c_custkey) AS customer_key FROM customer"""
+
+_ADDENDS = ", ".join(
+    f"('0x' || substr(d, {first}, 15))::BIGINT::HUGEINT AS {name}" for name, first in (("a", 1), ("b", 16)))
+
+SQL["dataset_fingerprint"] = f"""WITH {_ORDERS},
+hashed AS (SELECT batch_id, {_ADDENDS} FROM (SELECT batch_id, md5(CAST(to_json({{'batch_id': batch_id,
+  'o_custkey': o_custkey, 'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus}}) AS VARCHAR)) AS d FROM batches))
+SELECT batch_id, count(*) AS rows, CAST(sum(a) % 1152921504606846976 AS BIGINT) AS high,
+  CAST(sum(b) % 1152921504606846976 AS BIGINT) AS low FROM hashed GROUP BY GROUPING SETS (batch_id, ())"""
+
+SQL["baseline_area"] = f"""WITH {_BASELINE},
+placed AS (SELECT is_delayed, rank() OVER (ORDER BY delay_probability) AS low,
+    count(*) OVER (PARTITION BY delay_probability) AS ties FROM scored),
+sums AS (SELECT {_count_if('is_delayed', 'positives')}, {_count_if('NOT is_delayed', 'negatives')},
+    sum(CASE WHEN is_delayed THEN (2 * low + ties - 1)::HUGEINT END) AS twice FROM placed)
+SELECT positives, negatives, CAST(twice - positives::HUGEINT * (positives + 1) AS DOUBLE)
+  / nullif(CAST(2 * positives::HUGEINT * negatives AS DOUBLE), 0) AS area FROM sums"""
+
+SQL["drift_ks"] = f"""WITH {_VALID},
+flagged AS (SELECT flight_date >= DATE '1999-01-01' AS current, departure_delay_minutes, arrival_delay_minutes,
+    distance_miles, dep_hour FROM (SELECT * EXCLUDE (year_month), {_TEMPORAL} FROM valid)),
+long AS ({" UNION ALL ".join(f"SELECT '{n}' AS feature, current, CAST({n} AS DOUBLE) AS value FROM flagged" for n in _DRIFT_NUMBERS)}),
+shares AS (SELECT feature, value,
+    count(*) FILTER (WHERE NOT current) OVER (PARTITION BY feature ORDER BY value)::HUGEINT AS b,
+    count(*) FILTER (WHERE current) OVER (PARTITION BY feature ORDER BY value)::HUGEINT AS n,
+    count(*) FILTER (WHERE NOT current) OVER (PARTITION BY feature) AS reference_rows,
+    count(*) FILTER (WHERE current) OVER (PARTITION BY feature) AS current_rows
+  FROM long WHERE value IS NOT NULL)
+SELECT feature, reference_rows, current_rows, CAST(max(abs(b * current_rows - n * reference_rows)) AS DOUBLE)
+  / nullif(CAST(reference_rows::HUGEINT * current_rows AS DOUBLE), 0) AS distance
+FROM shares GROUP BY feature, reference_rows, current_rows"""
+
+SQL["late_label_alarms"] = f"""WITH RECURSIVE {_BASELINE},
+daily AS (SELECT CAST(flight_date + CAST(1 + coalesce(ascii(reporting_airline), 0) % 7 AS INTEGER) AS DATE) AS known_on,
+    count(*) AS evaluated, {_count_if('predicted_delayed <> is_delayed', 'errors')} FROM scored GROUP BY 1),
+days AS (SELECT *, row_number() OVER (ORDER BY known_on) AS i FROM daily),
+fold AS (
+  SELECT i, known_on, evaluated, errors, greatest(0, errors * 1000 - evaluated * 250)::BIGINT AS statistic,
+    CAST(NULL AS DATE) AS alarm_on FROM days WHERE i = 1
+  UNION ALL
+  SELECT d.i, d.known_on, d.evaluated, d.errors,
+    CASE WHEN coalesce(d.known_on - r.on_day <= 30, false) THEN 0
+      ELSE greatest(0, CASE WHEN r.statistic > 20000 THEN 0 ELSE r.statistic END + d.errors * 1000 - d.evaluated * 250) END::BIGINT,
+    r.on_day
+  FROM (SELECT *, CASE WHEN statistic > 20000 THEN known_on ELSE alarm_on END AS on_day FROM fold) r JOIN days d ON d.i = r.i + 1)
+SELECT known_on, evaluated, errors, statistic, statistic > 20000 AS retrain FROM fold"""
