@@ -30,12 +30,11 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
@@ -47,7 +46,7 @@ EXAMPLES = 3000
 NEIGHBOURS = 200
 BLOCK = 128
 #: Texts searched at once; their sums over all examples stay in a few megabytes.
-QUERIES = 64
+QUERIES = 32
 #: A term of more than this share of the examples has a dense row.
 DENSE = 0.1
 #: Logarithms of class ratios nearer to 0 than this say nothing.
@@ -56,7 +55,8 @@ LEAST_APART = 0.5
 SMOOTHING = 0.01
 _BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHED = 100_000
+_BASE = 0x9E3779B97F4A7C15
+_BEGINS = np.uint64(0xD6E8FEB86659FD93)
 _EVIDENCE = "array<struct<doc_id:long,similarity:double,toxic:double>>"
 
 
@@ -69,8 +69,62 @@ def terms_of(chunk: str) -> list[str]:
     return out
 
 
-def term_hashes(terms: Iterable[str]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(term) for term in terms), np.uint64)
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Which code points words are made of: those of ``_WORD``."""
+    is_letter = np.zeros(0x110000 + 1, bool)
+    is_letter[[c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and _WORD.match(chr(c))]] = True
+    return is_letter
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2^64."""
+    base = np.full(size, _BASE, np.uint64)
+    other = np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
+    base[0] = other[0] = 1
+    return np.multiply.accumulate(base), np.multiply.accumulate(other)
+
+
+def _word_hashes(text: str) -> tuple[np.ndarray, np.ndarray, Callable[[np.ndarray, np.ndarray], np.ndarray]]:
+    """(start, length) of the words of a text, and a function that hashes so many characters from a start on:
+    differences of one running polynomial, shifted to the start."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = np.zeros(len(points) + 2, np.int8)
+    inside[1:-1] = _letters()[points]
+    edges = np.diff(inside)
+    start, stop = np.nonzero(edges > 0)[0], np.nonzero(edges < 0)[0]
+    powers, inverse = _powers(1 << max(16, int(len(points)).bit_length()))
+    total = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * powers[:len(points)], out=total[1:])
+
+    def of(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+        h = (total[first + length] - total[first]) * inverse[first]
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        return h ^ (h >> np.uint64(32))
+
+    return start, stop - start, of
+
+
+def text_hashes(text: str) -> np.ndarray:
+    """The hashes of the terms of a whole text: ``terms_of`` its words, one after another."""
+    start, length, of = _word_hashes(text)
+    out = [of(start, length)]
+    for n in _BEGINNINGS:
+        # A beginning as long as the one before is the same term of the word.
+        some = (length >= n) if n > min(_BEGINNINGS) else (length >= n - 1)
+        out.append(of(start[some], np.minimum(length[some], n)) ^ _BEGINS)
+    return np.concatenate(out)
+
+
+def term_hashes(terms: Sequence[str]) -> np.ndarray:
+    """The hashes of terms: words, or ``^`` and a beginning."""
+    begins = np.fromiter((t.startswith("^") for t in terms), bool, len(terms))
+    start, length, of = _word_hashes(" ".join(terms))
+    if len(start) != len(terms):
+        raise ValueError("a term is one word")
+    return np.where(begins, of(start, length) ^ _BEGINS, of(start, length))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -79,44 +133,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 class TermCounter:
-    """Counts vocabulary terms of whole texts, with a cache of chunks. The vocabulary is held as 64-bit
-    hashes, a tenth of what its strings take; among a million terms a clash has odds of one in 10^7."""
+    """Counts vocabulary terms of whole texts. The vocabulary is held as 64-bit hashes, a tenth of what its
+    strings take; among a million terms a clash has odds of one in 10^7."""
 
     def __init__(self, vocabulary: Sequence[str] | np.ndarray):
         hashes = vocabulary if isinstance(vocabulary, np.ndarray) else term_hashes(vocabulary)
-        self._order = np.argsort(hashes, kind="stable")
+        self._order = np.argsort(hashes, kind="stable").astype(np.int32)
         self._sorted = hashes[self._order]
-        self._known: dict[str, tuple[int, ...]] = {}
-
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self._known) + len(chunks) > _CACHED:
-            self._known.clear()
-        terms = [terms_of(chunk) for chunk in chunks]
-        hashes = term_hashes(chain.from_iterable(terms))
-        at = np.minimum(np.searchsorted(self._sorted, hashes), max(0, len(self._sorted) - 1))
-        known = self._sorted[at] == hashes if len(self._sorted) else np.zeros(len(hashes), bool)
-        ids = np.where(known, self._order[at] if len(self._sorted) else 0, -1).tolist()
-        end = 0
-        for chunk, some in zip(chunks, terms):
-            self._known[chunk] = tuple(i for i in ids[end:end + len(some)] if i >= 0)
-            end += len(some)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, counts) of a text, terms in order."""
-        chunks = Counter((text or "").split())
-        new = [chunk for chunk in chunks if chunk not in self._known]
-        if new:
-            self._learn(new if len(self._known) + len(new) <= _CACHED else list(chunks))
-        ids = [self._known[chunk] for chunk in chunks]
-        for chunk in new:
-            if len(chunk) > 48:
-                del self._known[chunk]
-        terms = np.fromiter(chain.from_iterable(ids), np.int64)
-        times = np.repeat(np.fromiter(chunks.values(), np.int64, len(ids)), np.fromiter(map(len, ids), np.int64, len(ids)))
-        order = np.argsort(terms, kind="stable")
-        terms, times = terms[order], times[order]
-        first = np.nonzero(np.diff(terms, prepend=-1))[0]
-        return terms[first], np.add.reduceat(times, first) if len(first) else times
+        found, counts = np.unique(text_hashes(text or ""), return_counts=True)
+        at = np.searchsorted(self._sorted, found)
+        at[at == len(self._sorted)] = 0
+        known = self._sorted[at] == found if len(self._sorted) else np.zeros(len(found), bool)
+        terms = self._order[at[known]].astype(np.int64) if known.any() else np.zeros(0, np.int64)
+        order = np.argsort(terms)
+        return terms[order], counts[known][order]
 
     def counts(self, text: str | None) -> dict[int, int]:
         return dict(zip(*(x.tolist() for x in self.vector(text))))
@@ -213,21 +246,26 @@ class Examples:
         self.clean, self.toxic = (np.append(self.totals[:, i], none).astype(float) for i in (0, 1))
 
     def _build(self) -> None:
-        """Posting lists of the terms of few examples, dense rows and block maxima of the others."""
+        """Posting lists of the terms of few examples, dense rows and block maxima of the others. A few hundred
+        examples at a time: what is built is all that takes memory."""
         entries, many = len(self.sizes), len(self.often)
         self.row = np.full(len(self.idf), -1, np.int32)
         self.row[self.often] = np.arange(many)
-        value = (1 + np.log(self.counts.astype(float))) * self.idf[self.terms]
-        if entries:
-            starts = np.cumsum(self.sizes) - self.sizes
-            value /= np.repeat(np.sqrt(np.add.reduceat(value * value, starts)), self.sizes)
-        entry, row = np.repeat(np.arange(entries, dtype=np.int32), self.sizes), self.row[self.terms]
+        seen = np.bincount(self.terms, minlength=len(self.idf))
+        seen[self.often] = 0
+        self.first = np.append(0, np.cumsum(seen))
+        del seen
+        self.entry, self.value = np.empty(self.first[-1], np.int32), np.empty(self.first[-1])
         self.dense = np.zeros((many, self.size))
-        self.dense[row[row >= 0], entry[row >= 0]] = value[row >= 0]
-        few = np.nonzero(row < 0)[0]
-        few = few[np.argsort(self.terms[few], kind="stable")].astype(np.int32)
-        self.entry, self.value = entry[few], value[few]
-        self.first = np.searchsorted(self.terms[few], np.arange(len(self.idf) + 1))
+        free, bounds = self.first[:-1].copy(), np.append(0, np.cumsum(self.sizes))
+        for at in range(entries):
+            some = slice(bounds[at], bounds[at + 1])
+            terms, weights = self.terms[some], self.weights(self.terms[some], self.counts[some])
+            row = self.row[terms]
+            self.dense[row[row >= 0], at] = weights[row >= 0]
+            place = free[terms[row < 0]]
+            self.entry[place], self.value[place] = at, weights[row < 0]
+            free[terms[row < 0]] += 1
         self.most = self.dense.reshape(many, self.size // BLOCK, BLOCK).max(2) if self.size else self.dense
         self.voting = np.nonzero(self.steer[self.often] > 0)[0]
 
@@ -267,10 +305,11 @@ class Examples:
             ends = np.cumsum(count)
             which = np.repeat(a - ends + count, count)
             which += np.arange(len(which))
-            entry, value = self.entry.take(which), self.value.take(which)
-            value *= np.repeat(w, count)
+            entry, value = self.entry.take(which, mode="clip"), self.value.take(which, mode="clip")
+            of = np.repeat(np.arange(len(at), dtype=np.int32), count)
+            value *= w.take(of, mode="clip")
             scores[i] = np.bincount(entry, value, minlength=self.size)
-            lists.append((entry, value, np.repeat(self.steer[at], count)))
+            lists.append((entry, value, of, self.steer[at]))
         wanted = min(blocks, -(-2 * (self.k + 1) // BLOCK))
         cube = scores.reshape(n, blocks, BLOCK)
         bound = cube.max(2) + dense @ self.most
@@ -287,10 +326,10 @@ class Examples:
         found = []
         if self.size > self.k:
             least = np.partition(scores, -self.k - 1, axis=1)[:, -self.k - 1]
-        for i, (entry, value, steer) in enumerate(lists):
+        for i, (entry, value, of, steer) in enumerate(lists):
             near = scores[i] >= max(least[i] - 1e-9, 1e-12)
-            shared = np.nonzero(near.take(entry))[0]
-            vote = votes[i] + np.bincount(entry[shared], value[shared] * steer[shared], minlength=self.size)
+            shared = np.nonzero(near.take(entry, mode="clip"))[0]
+            vote = votes[i] + np.bincount(entry[shared], value[shared] * steer[of[shared]], minlength=self.size)
             near = np.nonzero(near)[0]
             near = near[np.lexsort((near, -np.round(scores[i, near], 12)))]
             found.append((near, np.round(scores[i, near], 12), vote[near]))
@@ -399,7 +438,7 @@ class ToxicityModel:
             return [(self.share, [])] * len(queries)
         keys = [_key(*q) for q in queries]
         new = {key: q for key, q in zip(keys, queries) if key not in self._known}
-        if len(self._known) + len(new) > 20_000:
+        if len(self._known) + len(new) > 4_000:
             new = dict(zip(keys, queries))
             self._known.clear()
         found = iter(self.examples.search([q for q in new.values() if len(q[0])]))
