@@ -212,4 +212,4 @@ def late_label_alarms(spark, sf_dir):
     known_on = F.date_add("flight_date", 1 + F.coalesce(F.ascii("reporting_airline"), F.lit(0)) % 7)
     labels = stage_table(valid(spark, sf_dir).select(
         *FLIGHT_KEY, delay_label(F.col("arrival_delay_minutes")).alias("is_delayed"), known_on.alias("known_on")), "labels")
-    return monitoring.error_alarms(predictions, labels, tolerated_permille=250, trigger=20_000, quiet_days=30)
+    return monitoring.error_alarms(predictions, labels, tolerated_permille=150, trigger=5_000, quiet_days=30)

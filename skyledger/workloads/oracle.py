@@ -568,12 +568,12 @@ daily AS (SELECT CAST(flight_date + CAST(1 + coalesce(ascii(reporting_airline),
     count(*) AS evaluated, {_count_if('predicted_delayed <> is_delayed', 'errors')} FROM scored GROUP BY 1),
 days AS (SELECT *, row_number() OVER (ORDER BY known_on) AS i FROM daily),
 fold AS (
-  SELECT i, known_on, evaluated, errors, greatest(0, errors * 1000 - evaluated * 250)::BIGINT AS statistic,
+  SELECT i, known_on, evaluated, errors, greatest(0, errors * 1000 - evaluated * 150)::BIGINT AS statistic,
     CAST(NULL AS DATE) AS alarm_on FROM days WHERE i = 1
   UNION ALL
   SELECT d.i, d.known_on, d.evaluated, d.errors,
     CASE WHEN coalesce(d.known_on - r.on_day <= 30, false) THEN 0
-      ELSE greatest(0, CASE WHEN r.statistic > 20000 THEN 0 ELSE r.statistic END + d.errors * 1000 - d.evaluated * 250) END::BIGINT,
+      ELSE greatest(0, CASE WHEN r.statistic > 5000 THEN 0 ELSE r.statistic END + d.errors * 1000 - d.evaluated * 150) END::BIGINT,
     r.on_day
-  FROM (SELECT *, CASE WHEN statistic > 20000 THEN known_on ELSE alarm_on END AS on_day FROM fold) r JOIN days d ON d.i = r.i + 1)
-SELECT known_on, evaluated, errors, statistic, statistic > 20000 AS retrain FROM fold"""
+  FROM (SELECT *, CASE WHEN statistic > 5000 THEN known_on ELSE alarm_on END AS on_day FROM fold) r JOIN days d ON d.i = r.i + 1)
+SELECT known_on, evaluated, errors, statistic, statistic > 5000 AS retrain FROM fold"""
