@@ -3,10 +3,11 @@
 Known shapes (assignments, access keys, long hexadecimal runs) are found by expression. The
 rest is found by entropy: candidate strings are runs of the characters secrets are made of;
 a window slides over each candidate, and its Shannon entropy follows from the sum of n * log2(n)
-over its characters' counts n. Sliding by one character changes two counts, so the sum is
-updated by two differences. A candidate counts as a secret if its highest window reaches the
-threshold of its character class. Allow-listed strings and what overlaps a known shape are
-not reported again. Long candidates are taken in overlapping blocks, so each step is short.
+over its characters' counts n. The counts are carried along: sliding by one character changes two
+of them, and the sum by two differences. A candidate counts as a secret if its highest window reaches
+the threshold of its character class. Known shapes and allow-listed stretches are blanked out first,
+so that what stands beside them is judged by itself. Long candidates are taken in overlapping blocks,
+so each step is short.
 
 Spans are in code points, end exclusive; all of them hold whole texts. Defined cases: a null or
 empty text has no spans; equal spans of two kinds are both reported; overlapping spans of
@@ -40,16 +41,27 @@ CLASSES = (
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_=-]+$", 3.7),
     ("lower", r"^(?=.*[0-9])(?=.*[a-z])[a-z0-9]+=*$", 3.5),
     ("upper", r"^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9]+=*$", 3.5),
+    # Letters next to digits, unlike file names and titles with dates and numbers.
+    ("lower_parts", r"^(?=.*(?:[0-9][a-z]|[a-z][0-9]))[a-z0-9+/_=-]+$", 3.7),
+    ("upper_parts", r"^(?=.*(?:[0-9][A-Z]|[A-Z][0-9]))[A-Z0-9+/_=-]+$", 3.7),
     # Long words stay below.
     ("letters", r"^[A-Za-z]+=*$", 3.7),
 )
-#: Shapes that are no secrets: UUIDs, dates, placeholders, decimal numbers, alphabets.
+# Stretches that are no secrets (UUIDs, placeholder words between separators, alphabets, digits
+# in order), longest first, and how many characters each takes.
 ALLOWED = (
-    r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
-    r"(?i)example|placeholder|sample|dummy|xxxx|your[_-]",
-    r"^[0-9_/+=-]+$",
-    r"(?i)abcdefghij|0123456789abcdef",
+    (r"(?i)(?<![0-9a-f])[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![0-9a-f])", 36),
+    (r"(?i)abcdefghijklmnopqrstuvwxyz", 26),
+    (r"(?i)(?<![A-Za-z0-9])placeholder(?![A-Za-z0-9])", 11),
+    (r"(?i)abcdefghij", 10),
+    (r"0123456789", 10),
+    (r"(?i)(?<![A-Za-z0-9])example(?![A-Za-z0-9])", 7),
+    (r"(?i)(?<![A-Za-z0-9])sample(?![A-Za-z0-9])", 6),
+    (r"(?i)(?<![A-Za-z0-9])dummy(?![A-Za-z0-9])", 5),
+    (r"(?i)(?<![A-Za-z0-9])your(?![A-Za-z0-9])", 4),
 )
+# The codes of the characters of candidates.
+_FIRST, _LAST = ord("+"), ord("z")
 BLOCK = 1024
 _SPANS = "array<struct<start:int,kind_at:int,stop:int>>"
 
@@ -83,27 +95,33 @@ def known_spans(text: Column) -> Column:
 
 
 def window_entropy(text: Column, window: int = WINDOW) -> Column:
-    """The highest entropy, in bits a character, of any ``window`` characters in a row."""
+    """The highest entropy, in bits a character, of any ``window`` characters in a row of a candidate."""
     logs = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(window + 2)])
     log = lambda n: F.element_at(logs, n + 1)
-    count = lambda s, c: F.length(s) - F.length(F.replace(s, c, F.lit("")))
+    places = _LAST - _FIRST + 1
+
+    def events(b: Column) -> Column:
+        """Who leaves and who comes, in order: place of the character, change, whether the window is full then."""
+        codes = F.transform(F.filter(F.split(b, ""), lambda c: c != ""), lambda c: F.ascii(c) - _FIRST + 1)
+        # Nobody leaves before the window is full; -1 fills it.
+        behind = F.concat(F.array_repeat(F.lit(0), window - 1), F.array(F.lit(-1)), codes)
+        change = lambda at, by, full: F.struct(at.alias("at"), F.lit(by).alias("by"), full.alias("full"))
+        both = F.zip_with(codes, F.slice(behind, F.lit(1), F.length(b)), lambda comes, leaves: F.array(
+            change(leaves, -1, F.lit(False)), change(comes, 1, leaves != 0)))
+        return F.filter(F.flatten(both), lambda e: e["at"] > 0)
+
+    def step(state: Column, e: Column) -> Column:
+        counts, at = state["counts"], e["at"]
+        n = F.element_at(counts, at)
+        now = state["sum"] - log(n) + log(n + e["by"])
+        return F.struct(
+            F.concat(F.slice(counts, F.lit(1), at - 1), F.array(n + e["by"]), F.slice(counts, at + 1, places - at)).alias("counts"),
+            now.alias("sum"), F.when(e["full"], F.least(state["least"], now)).otherwise(state["least"]).alias("least"))
 
     def block(b: Column) -> Column:
-        first = F.substring(b, F.lit(1), F.lit(window))
-        total = F.aggregate(F.array_distinct(F.split(first, "")), F.lit(0.0),
-                            lambda s, c: s + F.when(c == "", 0.0).otherwise(log(count(first, c))))
-
-        def slide(at: Column, i: Column) -> Column:
-            held = F.substring(b, i, F.lit(window))
-            leaves, comes = F.substring(b, i, F.lit(1)), F.substring(b, i + window, F.lit(1))
-            middle = F.substring(b, i + 1, F.lit(window - 1))
-            n_out, n_in = count(held, leaves), count(middle, comes)
-            now = at["sum"] - log(n_out) + log(n_out - 1) + log(n_in + 1) - log(n_in)
-            return F.struct(now.alias("sum"), F.least(at["least"], now).alias("least"))
-
-        moves = F.when(F.length(b) > window, F.sequence(F.lit(1), F.length(b) - window)).otherwise(
-            F.array().cast("array<int>"))
-        return F.aggregate(moves, F.struct(total.alias("sum"), total.alias("least")), slide, lambda at: at["least"])
+        start = F.struct(F.array_repeat(F.lit(0), places).alias("counts"), F.lit(0.0).alias("sum"),
+                         F.lit(math.inf).alias("least"))
+        return F.aggregate(events(b), start, step, lambda state: state["least"])
 
     stride = BLOCK - window + 1
     starts = F.sequence(F.lit(1), F.greatest(F.length(text) - window + 1, F.lit(1)), F.lit(stride))
@@ -111,46 +129,60 @@ def window_entropy(text: Column, window: int = WINDOW) -> Column:
     return F.when(F.length(text) >= window, math.log2(window) - least / window).otherwise(0.0)
 
 
-def entropy_spans(text: Column, known: Column, allow: Sequence[str] = ()) -> Column:
-    """Spans of candidates of high entropy that are not allow-listed and overlap no known span."""
+def blank(body: Column, spans: Column, mark) -> Column:
+    """``body`` with ``mark(length)`` in place of each stretch that spans cover; they come by start."""
+
+    def add(at: Column, span: Column) -> Column:
+        fresh = F.greatest(at["at"], span["start"])
+        gap = F.substring(body, at["at"] + 1, fresh - at["at"])
+        return F.struct(F.greatest(at["at"], span["stop"]).alias("at"),
+                        F.concat(at["out"], gap, mark(at, span, fresh)).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    whole = F.aggregate(spans, start, add, lambda at: F.concat(at["out"], F.substring(body, at["at"] + 1, F.length(body))))
+    return F.when(F.size(spans) > 0, whole).otherwise(body)
+
+
+def judged_text(text: Column, known: Column) -> Column:
+    """``text`` with blanks over the ``known`` spans and allow-listed stretches; places stay."""
+    rest = blank(text, known, lambda at, span, fresh: F.repeat(F.lit(" "), F.greatest(span["stop"] - fresh, F.lit(0))))
+    for pattern, length in ALLOWED:
+        rest = F.regexp_replace(rest, pattern, " " * length)
+    return rest
+
+
+def entropy_spans(rest: Column, allow: Sequence[str] = ()) -> Column:
+    """Spans of candidates of high entropy in ``judged_text``. A candidate that a pattern of ``allow`` fits is
+    let off whole."""
 
     def secret(candidate: Column) -> Column:
         need = F.lit(None).cast("double")
         for _, pattern, bits in reversed(CLASSES):
             need = F.when(candidate.rlike(pattern), bits).otherwise(need)
         allowed = F.lit(False)
-        for pattern in (*ALLOWED, *allow):
+        for pattern in allow:
             allowed = allowed | candidate.rlike(pattern)
         return need.isNotNull() & ~allowed & (window_entropy(candidate) >= need)
 
-    return F.filter(
-        _found(text, CANDIDATE, ENTROPY, secret),
-        lambda e: ~F.exists(known, lambda b: (b["start"] < e["stop"]) & (e["start"] < b["stop"])),
-    )
+    return _found(rest, CANDIDATE, ENTROPY, secret)
 
 
 def scan(df: DataFrame, *, text: str = "text", allow: Sequence[str] = ()) -> DataFrame:
     """Adds ``secrets``: an array of (start, kind_at, stop), by start, then kind as listed in ``KINDS``."""
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     known = df.withColumn("secrets", known_spans(whole))
-    added = entropy_spans(whole, F.col("secrets"), allow)
-    return known.withColumn("secrets", F.array_sort(F.concat("secrets", added)))
+    rest = "_rest"
+    while rest.lower() in [c.lower() for c in df.columns]:
+        rest += "_"
+    judged = known.withColumn(rest, judged_text(whole, F.col("secrets")))  # a column: computed once
+    return judged.withColumn("secrets", F.array_sort(F.concat("secrets", entropy_spans(F.col(rest), allow)))).drop(rest)
 
 
 def redact(df: DataFrame, *, text: str = "text", mark: str = "[secret]") -> DataFrame:
     """``df`` (a result of ``scan``) with ``mark`` in place of each stretch of secrets; a null text stays."""
     body = F.col(f"`{text}`")
-
-    def add(at: Column, span: Column) -> Column:
-        new = span["start"] >= at["at"]
-        gap = F.substring(body, at["at"] + 1, span["start"] - at["at"])
-        return F.struct(F.greatest(at["at"], span["stop"]).alias("at"),
-                        F.when(new, F.concat(at["out"], gap, F.lit(mark))).otherwise(at["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("secrets", start, add,
-                        lambda at: F.concat(at["out"], F.substring(body, at["at"] + 1, F.length(body))))
-    return df.withColumn(text, F.when(F.size("secrets") > 0, clean).otherwise(body))
+    marked = lambda at, span, fresh: F.when(span["start"] >= at["at"], F.lit(mark)).otherwise("")
+    return df.withColumn(text, blank(body, F.col("secrets"), marked))
 
 
 def _joined(spans: Column) -> Column:
