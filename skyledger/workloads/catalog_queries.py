@@ -10,8 +10,11 @@ from skyledger.functions.fingerprint import fingerprints, merged
 from skyledger.operators.prefix import assign_keys
 from skyledger.session import scratch_path, stage_table
 from skyledger.sources.catalog import CatalogTable
+from skyledger.sources.datasets import DatasetSpec
+from skyledger.streaming.rows import stream_rows as start_stream
 from skyledger.workloads.adapters import load
-from skyledger.workloads.registry import query
+from skyledger.workloads.registry import query, wall_clock
+from skyledger.workloads.storage_queries import EVENTS, EVENTS_REJECTED, FACTS, dirty_events
 
 
 def database(spark) -> str:
@@ -75,3 +78,20 @@ def dataset_fingerprint(spark, sf_dir):
     facts = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "batch_id")
     slices = stage_table(fingerprints(facts, "batch_id"), "fingerprints")
     return slices.unionByName(merged(slices).withColumn("batch_id", F.lit(None).cast("string")))
+
+
+@query
+def stream_rows(spark, sf_dir):
+    """Events land as files and stream into named tables; a second start finds nothing new."""
+    work, landing = database(spark), scratch_path(spark, "landing")
+    lines = dirty_events(spark, sf_dir).withColumn("source_file_name", F.lit("events.csv"))
+    lines.write.option("header", True).csv(landing)
+    spec = DatasetSpec("events", landing, "csv", f"{work}.events", "app", rejected_table=f"{work}.events_rejected")
+    CatalogTable(spark, spec.target_table, "batch_id").create(EVENTS.schema)
+    CatalogTable(spark, spec.rejected_table, "batch_id").create(EVENTS_REJECTED.schema)
+    checkpoint = scratch_path(spark, "stream")
+    for _ in range(2):
+        start_stream(spark, spec, lines.columns, stream="events", checkpoint=checkpoint).awaitTermination()
+    rejected = spark.table(spec.rejected_table).groupBy("batch_id").agg(F.count("*").alias("rejected"))
+    rows = spark.table(spec.target_table).select(*FACTS, "source_file_name", "source_system", "batch_id")
+    return wall_clock(rows.join(rejected, "batch_id", "left"))

@@ -11,6 +11,7 @@ from skyledger.functions.measures import INPUTS
 from skyledger.operators import evaluation, monitoring
 from skyledger.operators.features import add_temporal, delay_label, route_trailing
 from skyledger.operators.flights import FLIGHT_KEY
+from skyledger.operators.importance import permutation_importance
 from skyledger.plans import model
 from skyledger.session import scratch_path, stage_table
 from skyledger.sources.snapshots import Tables
@@ -213,3 +214,22 @@ def late_label_alarms(spark, sf_dir):
     labels = stage_table(valid(spark, sf_dir).select(
         *FLIGHT_KEY, delay_label(F.col("arrival_delay_minutes")).alias("is_delayed"), known_on.alias("known_on")), "labels")
     return monitoring.error_alarms(predictions, labels, tolerated_permille=150, trigger=5_000, quiet_days=30)
+
+
+IMPORTANCE_FEATURES = ("departure_delay_minutes", "dep_hour", "distance_miles", "constant")
+
+
+def _rule(flights: DataFrame) -> DataFrame:
+    """A scorer without training: late departures, evenings and long ways."""
+    points = (F.coalesce("departure_delay_minutes", F.lit(0)) + F.when(F.col("dep_hour") >= 17, 10).otherwise(0)
+              + F.when(F.col("distance_miles") > 1000, 5).otherwise(0))
+    return flights.withColumn("predicted_delayed", points >= 15)
+
+
+@query
+def rule_importance(spark, sf_dir):
+    """How much accuracy a rule owes to each of its features."""
+    flights = add_temporal(valid(spark, sf_dir).where("arrival_delay_minutes IS NOT NULL")).withColumns({
+        "is_delayed": delay_label(F.col("arrival_delay_minutes")), "constant": F.lit(1)})
+    key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in FLIGHT_KEY])
+    return permutation_importance(flights, IMPORTANCE_FEATURES, _rule, key=key, seed=7)

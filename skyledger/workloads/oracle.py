@@ -577,3 +577,32 @@ fold AS (
     r.on_day
   FROM (SELECT *, CASE WHEN statistic > 5000 THEN known_on ELSE alarm_on END AS on_day FROM fold) r JOIN days d ON d.i = r.i + 1)
 SELECT known_on, evaluated, errors, statistic, statistic > 5000 AS retrain FROM fold"""
+
+
+SQL["stream_rows"] = _ingested("csv", "events-0")
+
+_IMPORTANCE = ("departure_delay_minutes", "dep_hour", "distance_miles", "constant")
+
+
+def _rule(moved: str) -> str:
+    value = {name: f"moved_{name}" if name == moved else name for name in _IMPORTANCE}
+    return (f"coalesce({value['departure_delay_minutes']}, 0) + CASE WHEN {value['dep_hour']} >= 17 THEN 10 ELSE 0 END"
+            f" + CASE WHEN {value['distance_miles']} > 1000 THEN 5 ELSE 0 END >= 15")
+
+
+_MOVED = ", ".join(
+    f"CASE WHEN lead(1) OVER w_{n} IS NULL THEN first_value({n}) OVER w_{n} ELSE lead({n}) OVER w_{n} END AS moved_{n}"
+    for n in _IMPORTANCE)
+_ORDERS_OF = ", ".join(f"w_{n} AS (PARTITION BY block ORDER BY md5('7/{n}/' || key))" for n in _IMPORTANCE)
+
+SQL["rule_importance"] = f"""WITH {_VALID},
+told AS (SELECT concat_ws('|', CAST(flight_date AS VARCHAR), coalesce(reporting_airline, '?'), coalesce(flight_number, '?'),
+    coalesce(origin_airport, '?'), coalesce(dest_airport, '?')) AS key, departure_delay_minutes, dep_hour, distance_miles,
+    1 AS constant, arrival_delay_minutes >= 15 AS label
+  FROM (SELECT * EXCLUDE (year_month), {_TEMPORAL} FROM valid) WHERE arrival_delay_minutes IS NOT NULL),
+blocks AS (SELECT *, substr(md5('7//' || key), 1, 2) AS block FROM told),
+moved AS (SELECT *, {_MOVED} FROM blocks WINDOW {_ORDERS_OF}),
+long AS ({" UNION ALL ".join(f"SELECT '{n}' AS feature, label, ({_rule('')}) AS plain, ({_rule(n)}) AS permuted FROM moved" for n in _IMPORTANCE)}),
+sums AS (SELECT feature, count(*) AS rows, {_count_if('plain = label', 'correct')},
+  {_count_if('permuted = label', 'correct_permuted')} FROM long GROUP BY feature)
+SELECT *, CAST(correct - correct_permuted AS DOUBLE) / rows AS importance FROM sums"""

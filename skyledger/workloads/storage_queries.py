@@ -55,7 +55,7 @@ _DIRTY = {
     "value": "case when event_type = 'error' and event_id % 17 < 4 then 'n/a'"
              " else cast(cast(round(value * 100) as bigint) as string) end",
 }
-_FACTS = ("event_id", "ts", "user_id", "event_type", "value")
+FACTS = ("event_id", "ts", "user_id", "event_type", "value")
 
 
 def dirty_events(spark, sf_dir) -> DataFrame:
@@ -85,7 +85,7 @@ def rescued_split(spark, sf_dir):
     lanes = clean.withColumn(RESCUED_COLUMN, F.lit(None).cast("string")).withColumn("lane", F.lit("clean"))
     return wall_clock(
         lanes.unionByName(rescued.withColumn("lane", F.lit("rescued")))
-        .select(*_FACTS, "lane", F.col(RESCUED_COLUMN).alias("rescued_data"))
+        .select(*FACTS, "lane", F.col(RESCUED_COLUMN).alias("rescued_data"))
     )
 
 
@@ -257,7 +257,7 @@ def _landed(spark, sf_dir, kind: str) -> DatasetSpec:
 
 
 def _ingested(tables: Tables) -> DataFrame:
-    rows = tables.read(EVENTS.name).select(*_FACTS, "source_file_name", "source_system", "batch_id")
+    rows = tables.read(EVENTS.name).select(*FACTS, "source_file_name", "source_system", "batch_id")
     rejected = tables.read(EVENTS_REJECTED.name).groupBy("batch_id").agg(F.count("*").alias("rejected"))
     return wall_clock(rows.join(rejected, "batch_id", "left"))
 
