@@ -1,17 +1,18 @@
 """Token counts by source, language and tokenizer version, kept by signed deltas.
 
-The state is a folder of deltas, one subfolder a batch. A batch brings events on documents:
-``upsert`` (insert, or a revised count if the document is there) and ``delete``. Its deltas are
-rows per document: minus what the earlier batches left standing, plus the new count. Totals are
-sums over all deltas, so they never need the documents again.
+The state is a folder with one subfolder a batch. A batch brings events on documents: ``upsert`` (insert, or
+a revised count if the document is there) and ``delete``. Its signed deltas are rows per document: minus what
+the earlier batches left standing, plus the new count. Beside them stands what they add to each group, so
+totals are sums of a few rows a batch: neither documents nor their deltas are read again for them.
 
-A batch is committed by writing its folder whole. It only looks at batches with a smaller
+A batch is committed by writing its deltas and then its sums whole. It only looks at batches with a smaller
 number, so committing it again, after a lost job or by mistake, writes the same rows to the same
-place: totals do not change. Folders without Spark's success mark are not read.
+place: totals do not change. Batches whose sums lack Spark's success mark are not read.
 
 Defined cases: of several events of a batch on one document the one with the largest ``seq`` counts,
 ties go to the larger token count, source, language and version, deletes last; repeated rows count once;
-events without a doc_id name no document and are left out; null source, language or version
+each upsert without a doc_id is a document of its own that no later event can name, a delete without one names
+nothing; null source, language or version
 are groups of their own; a null text has no tokens; deleting an unknown document changes
 nothing; an empty batch commits and changes nothing; other columns are not looked at.
 """
@@ -29,7 +30,8 @@ from skyledger.llm.vocabulary import public_path, rank_counter
 from skyledger.session import scratch_path, stage_table
 
 GROUP = ("source", "lang", "version")
-_DELTA = "doc_id long, source string, lang string, version string, documents long, tokens long"
+_SUMS = "source string, lang string, version string, documents long, tokens long"
+_DELTA = f"doc_id long, {_SUMS}"
 
 
 def count_tokens(documents: DataFrame, tokenizer: str) -> DataFrame:
@@ -66,22 +68,26 @@ class TokenRollup:
         found = [s.getPath() for s in files.listStatus(path)]
         return sorted(
             int(p.getName().removeprefix("batch-")) for p in found
-            if p.getName().startswith("batch-") and files.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+            if p.getName().startswith("batch-") and files.exists(jvm.org.apache.hadoop.fs.Path(p, "sums/_SUCCESS"))
         )
 
+    def _read(self, part: str, schema: str, before: int | None = None) -> DataFrame:
+        paths = [f"{self.root}/batch-{b}/{part}" for b in self._batches() if before is None or b < before]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
     def deltas(self, before: int | None = None) -> DataFrame:
         """Committed rows per document, of batches below ``before`` if given."""
-        paths = [f"{self.root}/batch-{b}" for b in self._batches() if before is None or b < before]
-        if not paths:
-            return self.spark.createDataFrame([], _DELTA)
-        return self.spark.read.schema(_DELTA).parquet(*paths)
+        return self._read("deltas", _DELTA, before)
 
     def commit(self, batch: int, events: DataFrame) -> None:
         """Apply a batch: events have doc_id, seq, kind (upsert or delete), source, lang, version, tokens."""
         order = [F.col(c).desc_nulls_last() for c in ("seq", "tokens", "source", "lang", "version", "kind")]
         wanted = events.where("doc_id is not null").select("doc_id", "seq", "kind", *GROUP, "tokens")
         last = stage_table(top_by(wanted, ["doc_id"], order, 1, "n"), "events")
-        touched = self.deltas(batch).join(last.select("doc_id"), "doc_id", "left_semi")
+        # Merged whatever the sizes: a batch may bring as many ids as there are documents.
+        touched = self.deltas(batch).join(last.select("doc_id").hint("merge"), "doc_id", "left_semi")
         standing = touched.groupBy("doc_id", *GROUP).agg(
             F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens")
         )
@@ -91,14 +97,18 @@ class TokenRollup:
             "doc_id", *GROUP, F.lit(1).cast("long").alias("documents"),
             F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"),
         )
-        changed = minus.unionByName(plus).groupBy("doc_id", *GROUP).agg(
-            F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens")
-        ).where("documents <> 0 or tokens <> 0")
-        changed.write.mode("overwrite").parquet(f"{self.root}/batch-{batch}")
+        added = [F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens")]
+        changed = minus.unionByName(plus).groupBy("doc_id", *GROUP).agg(*added).where("documents <> 0 or tokens <> 0")
+        folder = f"{self.root}/batch-{batch}"
+        changed.write.mode("overwrite").parquet(f"{folder}/deltas")
+        nameless = events.where("doc_id is null and kind = 'upsert'").select(
+            *GROUP, F.lit(1).cast("long").alias("documents"), F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
+        rows = self.spark.read.schema(_DELTA).parquet(f"{folder}/deltas").drop("doc_id").unionByName(nameless)
+        rows.groupBy(*GROUP).agg(*added).write.mode("overwrite").parquet(f"{folder}/sums")
 
     def totals(self) -> DataFrame:
         """Documents and tokens of each group that has documents."""
-        return self.deltas().groupBy(*GROUP).agg(
+        return self._read("sums", _SUMS).groupBy(*GROUP).agg(
             F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens")
         ).where("documents <> 0")
 
@@ -122,7 +132,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit(2, toxic)
     low = labels.where("quality = 0 and toxic = 0").select("doc_id").distinct()
     # Counted before the join, which then moves counts and no texts.
-    again = count_tokens(documents.withColumn("text", F.lower("text")), path).join(low, "doc_id", "left_semi")
+    again = count_tokens(documents.withColumn("text", F.lower("text")), path).join(low.hint("merge"), "doc_id", "left_semi")
     rollup.commit(3, again.select(
         "doc_id", seq, F.lit("upsert").alias("kind"), "source", "lang", F.lit("byte_bpe_50k/2").alias("version"), "tokens"
     ))
