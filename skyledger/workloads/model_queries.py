@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from skyledger.contracts import contract
 from skyledger.functions.casting import conform
+from skyledger.functions.fingerprint import dataset_version
 from skyledger.functions.measures import INPUTS
-from skyledger.operators import evaluation, monitoring
+from skyledger.operators import evaluation, leaf_trees, monitoring
 from skyledger.operators.features import add_temporal, delay_label, route_trailing
 from skyledger.operators.flights import FLIGHT_KEY
 from skyledger.operators.importance import permutation_importance
@@ -233,3 +234,48 @@ def rule_importance(spark, sf_dir):
         "is_delayed": delay_label(F.col("arrival_delay_minutes")), "constant": F.lit(1)})
     key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in FLIGHT_KEY])
     return permutation_importance(flights, IMPORTANCE_FEATURES, _rule, key=key, seed=7)
+
+
+LEAF_BINS = (
+    leaf_trees.Bins("departure_delay_minutes", (-5.0, 0.0, 5.0, 10.0, 15.0, 30.0, 60.0)),
+    leaf_trees.Bins("dep_hour", (6.0, 9.0, 12.0, 15.0, 18.0, 21.0)),
+    leaf_trees.Bins("distance_miles", (250.0, 500.0, 1000.0, 1500.0, 2000.0)),
+    leaf_trees.Bins("season", values=("winter", "spring", "summer", "autumn")),
+)
+
+
+@query
+def leaf_splits(spark, sf_dir):
+    """Splits and leaves of two boosted trees over all clean flights, grown leaf by leaf."""
+    flights = add_temporal(valid(spark, sf_dir)).withColumn("late", delay_label(F.col("arrival_delay_minutes")))
+    return leaf_trees.fit(
+        flights, LEAF_BINS, label="late", trees=2, num_leaves=5, learning_rate=0.3, least_rows=5,
+    ).table(spark)
+
+
+_LEAF_PARAMS = model.Params(learning_rate=0.2, n_estimators=5, num_leaves=12)
+
+
+@query
+def leaf_run_checks(spark, sf_dir):
+    """A registered run of trees grown by leaves: its parameters, its data set's version and its model as the registry
+    has them, and what must hold of its results."""
+    features = _trained(spark, sf_dir).read("gold.ml_features")
+    registry = model.Registry(Tables(spark, scratch_path(spark, "tables")))
+    registry.register(model.train(features, _LEAF_PARAMS, tags={"dataset_version": dataset_version(features)}))
+    kept, version = registry.load()
+    leaves = kept.table(spark).where("feature IS NULL").groupBy("tree").count().agg(F.max("count").alias("most_leaves"))
+    run = registry.tables.read("gold.model_runs").where(F.col("model_version") == version).select(
+        "model_version",
+        F.from_json("params", "num_leaves INT, n_estimators INT, learning_rate DOUBLE").alias("p"),
+        F.from_json("tags", "dataset_version STRING").alias("t"),
+        F.from_json("metrics", "evaluated BIGINT, delayed BIGINT, auc_roc DOUBLE").alias("m"),
+        F.from_json("confusion", "ARRAY<STRUCT<is_delayed: BOOLEAN, flights: BIGINT>>").alias("c"),
+        F.from_json("importances", "MAP<STRING, DOUBLE>").alias("i"),
+    )
+    return run.join(leaves).selectExpr(
+        "model_version", "p.*", "CAST(split_part(t.dataset_version, '-', 1) AS BIGINT) AS dataset_rows",
+        "m.evaluated", "m.delayed", "aggregate(c, 0L, (n, x) -> n + x.flights) AS matrix_flights",
+        "size(i) AS features", "abs(aggregate(map_values(i), 0D, (n, x) -> n + x) - 1) < 1e-6 AS importances_sum_to_one",
+        "most_leaves <= p.num_leaves AS leaves_within", f"m.auc_roc > {LEAST_AREA} AS learns",
+    )

