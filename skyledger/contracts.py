@@ -181,6 +181,7 @@ class Contract:
     directory of files, the unit that reruns replace and reads can skip.
     ``slice_follows_key`` says that rows of one key can only be in one slice.
     ``surrogate`` names the column that holds the hash of the business key.
+    Rows are only added to a ``log``: it has no versions.
     """
 
     name: str
@@ -189,6 +190,7 @@ class Contract:
     surrogate: str | None = None
     slice_by: str = "'all'"
     slice_follows_key: bool = True
+    log: bool = False
 
     @cached_property
     def schema(self) -> T.StructType:
@@ -241,8 +243,7 @@ _CONTRACTS = [
              slice_by="year_month"),
     Contract("gold.model_runs", MODEL_RUNS, ("run_id",)),
     Contract("gold.model_registry", MODEL_REGISTRY, ("model_name", "model_version")),
-    Contract("audit.pipeline_run_log", PIPELINE_RUN_LOG,
-             slice_by="date_format(event_timestamp, 'yyyy-MM')"),
+    Contract("audit.pipeline_run_log", PIPELINE_RUN_LOG, log=True),
 ]
 CONTRACTS = {contract.name: contract for contract in _CONTRACTS}
 

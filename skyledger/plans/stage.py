@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -11,7 +12,7 @@ from datetime import datetime, timezone
 from typing import Any
 
 from skyledger.contracts import contract
-from skyledger.sources.snapshots import CommitConflict, SnapshotTable, Tables
+from skyledger.sources.snapshots import SnapshotTable, Tables
 
 AUDIT_TABLE = "audit.pipeline_run_log"
 
@@ -26,10 +27,11 @@ class RunLog:
     def __init__(self, tables: Tables, name: str):
         self.tables = tables
         self.name = name
+        self._writer = uuid.uuid4().hex
 
     def write(self, status: str, **event: Any) -> None:
-        audit = self.tables.table(AUDIT_TABLE)
-        if audit.version() is None:
+        audit = self.tables.log(AUDIT_TABLE)
+        if not audit.exists():
             return
         details = event.pop("details", None)
         row = {
@@ -40,12 +42,8 @@ class RunLog:
             **event,
         }
         entry = tuple(row.get(n) for n in contract(AUDIT_TABLE).schema.names)
-        while True:
-            try:
-                audit.append_rows([entry])
-                return
-            except CommitConflict:  # another job logged in between
-                continue
+        # Threads that log at once are writers of their own.
+        audit.append_rows([entry], f"{self._writer}-{threading.get_ident()}")
 
 
 @dataclass

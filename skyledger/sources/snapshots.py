@@ -26,6 +26,7 @@ from skyledger.contracts import CONTRACTS, Contract, contract
 from skyledger.functions.casting import conform, missing_fields, surrogate_key
 from skyledger.operators.dedup import latest_per_key
 from skyledger.session import scratch
+from skyledger.sources.logs import LogTable
 from skyledger.sources.storage import Storage
 
 _NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
@@ -371,15 +372,21 @@ class Tables:
         self._further = {table.name: table for table in further}
 
     def table(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, self.root, self._further.get(name) or contract(name))
+        return SnapshotTable(self.spark, self.root, self._contract(name))
+
+    def log(self, name: str) -> LogTable:
+        return LogTable(self.spark, self.root, self._contract(name))
+
+    def _contract(self, name: str) -> Contract:
+        return self._further.get(name) or contract(name)
 
     def create(self, names: Iterable[str] | None = None) -> Tables:
         for name in (*CONTRACTS, *self._further) if names is None else names:
-            self.table(name).create()
+            (self.log if self._contract(name).log else self.table)(name).create()
         return self
 
     def read(self, name: str, **options) -> DataFrame:
-        return self.table(name).read(**options)
+        return (self.log if self._contract(name).log else self.table)(name).read(**options)
 
 
 def distinct_batches(df: DataFrame) -> tuple[str, ...]:

@@ -427,6 +427,7 @@ FROM judged WHERE NOT odd_user AND NOT odd_value"""
 
 SQL["csv_ingest"] = _ingested("csv", "b1")
 SQL["jsonl_ingest"] = _ingested("jsonl", "b1")
+SQL["mixed_ingest"] = _ingested("mixed", "b1")
 SQL["stream_ingest"] = _ingested("csv", "events-0")
 
 # Quality, drift and predictions ------------------------------------------------------------

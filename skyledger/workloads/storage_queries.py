@@ -278,6 +278,20 @@ def jsonl_ingest(spark, sf_dir):
     return _ingested(tables)
 
 
+@query
+def mixed_ingest(spark, sf_dir):
+    """Half of the rows lie in CSV files, half in files of JSON lines, below one path."""
+    tables, path = _tables(spark, EVENTS, EVENTS_REJECTED), scratch_path(spark, "landing-mixed")
+    rows = dirty_events(spark, sf_dir).withColumn("source_file_name", F.lit("events.mixed"))
+    half = F.xxhash64(*rows.columns) % 2 == 0
+    rows.where(half).write.option("header", True).csv(f"{path}/kind=csv")
+    rows.where(~half).write.json(f"{path}/kind=json")
+    spec = DatasetSpec("events", path, "mixed", EVENTS.name, "app", rejected_table=EVENTS_REJECTED.name)
+    for _ in range(2):
+        ingest(tables, spec, batch_id="b1")
+    return _ingested(tables)
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """The stream is started twice on the same files; the second start finds nothing new."""
