@@ -155,10 +155,10 @@ def error_alarms(
 
 
 def _mean(value: Column) -> Column:
-    """The mean of a share, exact to its ninth decimal: the sum is of integers, so its order
+    """The mean of a share, each rounded to its twelfth decimal: the sum is of integers, so its order
     does not matter."""
-    billionths = F.sum(F.floor(value * 1_000_000_000).cast("bigint"))
-    return F.try_divide(billionths.cast("double"), (F.count(value) * 1_000_000_000).cast("double"))
+    trillionths = F.sum(F.floor(value * 1e12 + 0.5).cast("decimal(20,0)"))
+    return F.try_divide(trillionths.cast("double"), F.count(value) * F.lit(1e12))
 
 
 def _sum(value: Column) -> Column:

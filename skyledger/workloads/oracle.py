@@ -455,8 +455,8 @@ scored AS (SELECT *, coalesce(route_delay_rate_90d, 0) AS delay_probability,
 def _prediction_summary(key: str) -> str:
     return f"""WITH {_BASELINE}
 SELECT {key}, count(*) AS flights,
-  CAST(sum(CAST(floor(delay_probability * 1000000000) AS BIGINT)) AS DOUBLE)
-    / CAST(count(delay_probability) * 1000000000 AS DOUBLE) AS avg_delay_probability,
+  CAST(sum(CAST(floor(delay_probability * 1e12 + 0.5) AS HUGEINT)) AS DOUBLE)
+    / (count(delay_probability) * 1e12) AS avg_delay_probability,
   {_count_if('predicted_delayed', 'predicted_delayed_flights')}
 FROM scored GROUP BY {key}"""
 
