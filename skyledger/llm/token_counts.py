@@ -131,8 +131,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit(2, toxic)
     rollup.commit(2, toxic)
     low = labels.where("quality = 0 and toxic = 0").select("doc_id").distinct()
-    # Counted before the join, which then moves counts and no texts.
-    again = count_tokens(documents.withColumn("text", F.lower("text")), path).join(low.hint("merge"), "doc_id", "left_semi")
+    # Counted before the join, which then moves counts and no texts; written, as a commit reads its events twice.
+    lowered = count_tokens(documents.withColumn("text", F.lower("text")), path)
+    again = stage_table(lowered.join(low.hint("merge"), "doc_id", "left_semi"), "counted_again")
     rollup.commit(3, again.select(
         "doc_id", seq, F.lit("upsert").alias("kind"), "source", "lang", F.lit("byte_bpe_50k/2").alias("version"), "tokens"
     ))
