@@ -47,6 +47,8 @@ NEIGHBOURS = 200
 BLOCK = 128
 #: Texts searched at once; their sums over all examples stay in a few megabytes.
 QUERIES = 32
+#: Terms of a vocabulary hashed at once.
+HASHED_AT_ONCE = 4096
 #: A term of more than this share of the examples has a dense row.
 DENSE = 0.1
 #: Logarithms of class ratios nearer to 0 than this say nothing.
@@ -77,7 +79,7 @@ def _letters() -> np.ndarray:
     return is_letter
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=4)  # long and short texts alternate
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2^64."""
     base = np.full(size, _BASE, np.uint64)
@@ -119,7 +121,13 @@ def text_hashes(text: str) -> np.ndarray:
 
 
 def term_hashes(terms: Sequence[str]) -> np.ndarray:
-    """The hashes of terms: words, or ``^`` and a beginning."""
+    """The hashes of terms: words, or ``^`` and a beginning. Some thousand at a time: the sums and powers of a
+    stretch take thirty times its characters."""
+    some = [_term_hashes(terms[at:at + HASHED_AT_ONCE]) for at in range(0, len(terms), HASHED_AT_ONCE)]
+    return np.concatenate([np.zeros(0, np.uint64), *some])
+
+
+def _term_hashes(terms: Sequence[str]) -> np.ndarray:
     begins = np.fromiter((t.startswith("^") for t in terms), bool, len(terms))
     start, length, of = _word_hashes(" ".join(terms))
     if len(start) != len(terms):
