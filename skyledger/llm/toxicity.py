@@ -6,8 +6,8 @@ examples. Each text becomes a TF-IDF vector of all these terms; its ``NEIGHBOURS
 examples by cosine are found exactly.
 
 The index is block-max: examples are ordered so that like ones lie together and cut into blocks of
-``BLOCK``. Terms of few examples have posting lists, all of which are added up. A term of many examples
-has its list as a dense row, with the largest weight in each block. A block whose bound (the largest
+``BLOCK``. Terms of few examples have posting lists, one for each count in an example, all of which are
+added up. A term of many examples has its list as a dense row, with the largest weight in each block. A block whose bound (the largest
 sum so far in it, plus the query's weights times the block's largest ones) is below the k-th best score
 of the most promising blocks is not visited. All examples as near as the k-th count, so ties do not matter.
 
@@ -46,7 +46,9 @@ EXAMPLES = 3000
 NEIGHBOURS = 200
 BLOCK = 128
 #: Texts searched at once; their sums over all examples stay in a few megabytes.
-QUERIES = 32
+QUERIES = 128
+#: Characters of short texts hashed at once; a longer text is hashed by itself.
+STRETCH = 1 << 16
 #: Terms of a vocabulary hashed at once.
 HASHED_AT_ONCE = 4096
 #: A term of more than this share of the examples has a dense row.
@@ -89,9 +91,9 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_hashes(text: str) -> tuple[np.ndarray, np.ndarray, Callable[[np.ndarray, np.ndarray], np.ndarray]]:
-    """(start, length) of the words of a text, and a function that hashes so many characters from a start on:
-    differences of one running polynomial, shifted to the start."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    """(start, length) of the words of a lower-case text, and a function that hashes so many characters from a
+    start on: differences of one running polynomial, shifted to the start."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     inside = np.zeros(len(points) + 2, np.int8)
     inside[1:-1] = _letters()[points]
     edges = np.diff(inside)
@@ -109,17 +111,6 @@ def _word_hashes(text: str) -> tuple[np.ndarray, np.ndarray, Callable[[np.ndarra
     return start, stop - start, of
 
 
-def text_hashes(text: str) -> np.ndarray:
-    """The hashes of the terms of a whole text: ``terms_of`` its words, one after another."""
-    start, length, of = _word_hashes(text)
-    out = [of(start, length)]
-    for n in _BEGINNINGS:
-        # A beginning as long as the one before is the same term of the word.
-        some = (length >= n) if n > min(_BEGINNINGS) else (length >= n - 1)
-        out.append(of(start[some], np.minimum(length[some], n)) ^ _BEGINS)
-    return np.concatenate(out)
-
-
 def term_hashes(terms: Sequence[str]) -> np.ndarray:
     """The hashes of terms: words, or ``^`` and a beginning. Some thousand at a time: the sums and powers of a
     stretch take thirty times its characters."""
@@ -129,7 +120,7 @@ def term_hashes(terms: Sequence[str]) -> np.ndarray:
 
 def _term_hashes(terms: Sequence[str]) -> np.ndarray:
     begins = np.fromiter((t.startswith("^") for t in terms), bool, len(terms))
-    start, length, of = _word_hashes(" ".join(terms))
+    start, length, of = _word_hashes(" ".join(terms).lower())
     if len(start) != len(terms):
         raise ValueError("a term is one word")
     return np.where(begins, of(start, length) ^ _BEGINS, of(start, length))
@@ -148,16 +139,62 @@ class TermCounter:
         hashes = vocabulary if isinstance(vocabulary, np.ndarray) else term_hashes(vocabulary)
         self._order = np.argsort(hashes, kind="stable").astype(np.int32)
         self._sorted = hashes[self._order]
+        self._begins = np.full((max(1, len(hashes)), len(_BEGINNINGS)), -1, np.int32)
+        self._met = np.zeros(max(1, len(hashes)), bool)
+
+    def vectors(self, texts: Sequence[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(terms, counts) of each text, terms in order. Short texts are counted together."""
+        out, some, size = [], [], 0
+        for text in texts:
+            text = (text or "").lower()
+            if some and size + len(text) >= STRETCH:
+                out += self._together(some)
+                some, size = [], 0
+            some.append(text)
+            size += len(text) + 1
+        return out + self._together(some) if some else out
+
+    def _together(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The vectors of lower-case texts. The beginnings of a known word are looked up when it is first met."""
+        start, length, of = _word_hashes(" ".join(texts))
+        words = self._places(of(start, length))
+        new = np.nonzero((words >= 0) & ~self._met[words])[0]
+        if len(new):
+            self._begins[words[new]] = self._beginnings(start[new], length[new], of)
+            self._met[words[new]] = True
+        terms = np.empty((1 + len(_BEGINNINGS), len(words)), np.int32)
+        terms[0] = words
+        terms[1:] = self._begins[words].T
+        strange = np.nonzero(words < 0)[0]
+        terms[1:, strange] = self._beginnings(start[strange], length[strange], of).T
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        document = np.searchsorted(start, ends)
+        document = np.repeat(np.arange(len(texts)) * len(self._sorted), np.diff(document, prepend=0))
+        keys = (terms + document)[terms >= 0]
+        keys, counts = np.unique(keys, return_counts=True)
+        bounds = np.searchsorted(keys, np.arange(len(texts) + 1) * len(self._sorted))
+        return [(keys[a:b] - i * len(self._sorted), counts[a:b]) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+
+    def _beginnings(self, start: np.ndarray, length: np.ndarray, of: Callable) -> np.ndarray:
+        """The terms of the beginnings of words, -1 for those a word has not or that are unknown."""
+        terms = np.full((len(start), len(_BEGINNINGS)), -1, np.int32)
+        for i, n in enumerate(_BEGINNINGS):
+            # A beginning as long as the one before is the same term of the word.
+            some = np.nonzero(length >= (n if i else n - 1))[0]
+            terms[some, i] = self._places(of(start[some], np.minimum(length[some], n)) ^ _BEGINS)
+        return terms
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """The terms of hashes, -1 for unknown ones."""
+        if not len(self._sorted):
+            return np.full(len(hashes), -1, np.int32)
+        at = np.searchsorted(self._sorted, hashes)
+        at[at == len(self._sorted)] = 0
+        return np.where(self._sorted.take(at) == hashes, self._order.take(at), np.int32(-1))
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, counts) of a text, terms in order."""
-        found, counts = np.unique(text_hashes(text or ""), return_counts=True)
-        at = np.searchsorted(self._sorted, found)
-        at[at == len(self._sorted)] = 0
-        known = self._sorted[at] == found if len(self._sorted) else np.zeros(len(found), bool)
-        terms = self._order[at[known]].astype(np.int64) if known.any() else np.zeros(0, np.int64)
-        order = np.argsort(terms)
-        return terms[order], counts[known][order]
+        return self.vectors([text])[0]
 
     def counts(self, text: str | None) -> dict[int, int]:
         return dict(zip(*(x.tolist() for x in self.vector(text))))
@@ -172,7 +209,7 @@ def term_vectors(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                found = [counter.vector(text) for text in some.column(1).to_pylist()]
+                found = counter.vectors(some.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array([t for t, _ in found], pa.list_(pa.int32())),
                      pa.array([c for _, c in found], pa.list_(pa.int32()))],
@@ -225,20 +262,19 @@ class Examples:
                 kept.append(entry)
             else:
                 self.empty = (float(entry[0]), float(entry[1]), entry[2])
-        seen = np.bincount(np.concatenate([np.asarray(e[3], np.int64) for e in kept] or [np.zeros(0, np.int64)]), minlength=len(idf))
+        seen = np.bincount(np.concatenate([np.asarray(e[3], np.int32) for e in kept] or [np.zeros(0, np.int32)]), minlength=len(idf))
         #: The terms of many examples.
         self.often = np.nonzero(seen > DENSE * len(kept))[0]
+        del seen
         kept = [kept[i] for i in self._order(kept)]
         self.ids = [e[2] for e in kept]
         self.totals = np.array([e[:2] for e in kept], np.int64).reshape(-1, 2)
-        self.sizes = np.array([len(e[3]) for e in kept], np.int64)
-        flat = lambda at: np.concatenate([np.asarray(e[at], np.int64) for e in kept] or [np.zeros(0, np.int64)])
-        self.terms, self.counts = flat(3).astype(np.int32), flat(4)
-        self.counts = self.counts.astype(np.min_scalar_type(int(self.counts.max(initial=1))))
+        self._list(kept)
         self._pad()
 
-    #: All that is shipped; who searches builds the lists from it.
-    _SHIPPED = ("idf", "weight", "k", "steer", "empty", "often", "ids", "totals", "sizes", "terms", "counts")
+    #: All that is shipped; who searches builds the dense rows from it.
+    _SHIPPED = ("idf", "weight", "k", "steer", "empty", "often", "ids", "totals", "scale", "entry", "start", "count", "first",
+                "held")
 
     def __getstate__(self):
         return {name: self.__dict__[name] for name in self._SHIPPED}
@@ -247,35 +283,55 @@ class Examples:
         self.__dict__.update(state)
         self._pad()
 
+    def _list(self, kept: list) -> None:
+        """The lists of terms of few examples, ordered by term and count: ``entry`` from ``start[i]`` on are the
+        entries of list i, in which the term occurs ``count[i]`` times; a term's lists begin at ``first``.
+        ``held`` has (row, entry, count) of the terms of many examples."""
+        sizes = [len(e[3]) for e in kept]
+        flat = lambda at: np.concatenate([np.asarray(e[at], np.int32) for e in kept] or [np.zeros(0, np.int32)])
+        terms, counts = flat(3), flat(4)
+        counts = counts.astype(np.min_scalar_type(int(counts.max(initial=1))))
+        entry = np.repeat(np.arange(len(kept), dtype=np.min_scalar_type(max(1, len(kept)))), sizes)
+        self.scale = np.array([1 / math.sqrt(float(w @ w)) for w in (self._unscaled(e[3], e[4]) for e in kept)])
+        row = np.full(len(self.idf), -1, np.int32)
+        row[self.often] = np.arange(len(self.often))
+        row = row[terms]
+        held = row >= 0
+        self.held = row[held].astype(np.min_scalar_type(max(1, len(self.often)))), entry[held], counts[held]
+        rare = np.nonzero(row < 0)[0]
+        del row, held
+        terms, counts, entry = terms[rare], counts[rare], entry[rare]
+        order = np.lexsort((counts, terms))
+        terms, counts, self.entry = terms[order], counts[order], entry[order]
+        new = np.ones(len(terms), bool)
+        new[1:] = (terms[1:] != terms[:-1]) | (counts[1:] != counts[:-1])
+        new = np.nonzero(new)[0]
+        self.start, self.count = np.append(new, len(terms)).astype(np.int32), counts[new]
+        self.first = np.searchsorted(terms[new], np.arange(len(self.idf) + 1)).astype(np.int32)
+
     def _pad(self) -> None:
         """Fill the last block with entries that stand for no example."""
-        self.size = -(-len(self.sizes) // BLOCK) * BLOCK
-        none = np.zeros(self.size - len(self.sizes), np.int64)
+        self.size = -(-len(self.totals) // BLOCK) * BLOCK
+        none = np.zeros(self.size - len(self.totals), np.int64)
         self.clean, self.toxic = (np.append(self.totals[:, i], none).astype(float) for i in (0, 1))
 
     def _build(self) -> None:
-        """Posting lists of the terms of few examples, dense rows and block maxima of the others. A few hundred
-        examples at a time: what is built is all that takes memory."""
-        entries, many = len(self.sizes), len(self.often)
-        self.row = np.full(len(self.idf), -1, np.int32)
-        self.row[self.often] = np.arange(many)
-        seen = np.bincount(self.terms, minlength=len(self.idf))
-        seen[self.often] = 0
-        self.first = np.append(0, np.cumsum(seen))
-        del seen
-        self.entry, self.value = np.empty(self.first[-1], np.int32), np.empty(self.first[-1])
-        self.dense = np.zeros((many, self.size))
-        free, bounds = self.first[:-1].copy(), np.append(0, np.cumsum(self.sizes))
-        for at in range(entries):
-            some = slice(bounds[at], bounds[at + 1])
-            terms, weights = self.terms[some], self.weights(self.terms[some], self.counts[some])
-            row = self.row[terms]
-            self.dense[row[row >= 0], at] = weights[row >= 0]
-            place = free[terms[row < 0]]
-            self.entry[place], self.value[place] = at, weights[row < 0]
-            free[terms[row < 0]] += 1
-        self.most = self.dense.reshape(many, self.size // BLOCK, BLOCK).max(2) if self.size else self.dense
+        """Dense rows, cut into blocks, and block maxima of the terms of many examples."""
+        self.row = np.full(len(self.idf), -1, np.int16 if len(self.often) < 1 << 15 else np.int32)
+        self.row[self.often] = np.arange(len(self.often))
+        row, entry, count = self.held
+        self.dense = np.zeros((self.size // BLOCK, len(self.often), BLOCK))
+        value = (1 + np.log(np.arange(1, int(count.max(initial=1)) + 1)))[count - 1]
+        value *= self.idf[self.often].take(row)
+        value *= self.scale.take(entry)
+        self.dense[entry // BLOCK, row, entry % BLOCK] = value
+        self.most = self.dense.max(2).T
+        self.length = np.diff(self.start)
+        #: What an occurrence of a list's term weighs, before it is scaled by the entry.
+        self.worth = np.repeat(self.idf, np.diff(self.first)) * (1 + np.log(self.count.astype(float)))
+        self.factor = np.append(self.scale, np.zeros(self.size - len(self.scale)))
         self.voting = np.nonzero(self.steer[self.often] > 0)[0]
+        self.voted = np.swapaxes(self.dense[:, self.voting], 0, 1).reshape(len(self.voting), self.size)
 
     def _order(self, kept: list) -> list[int]:
         """Entries with like weights of frequent terms next to each other, long ones after short ones."""
@@ -292,62 +348,71 @@ class Examples:
         sizes = np.array([len(e[3]) for e in kept])
         return np.lexsort((sizes, *side.T)).tolist()
 
+    def _unscaled(self, terms, counts) -> np.ndarray:
+        return (1 + np.log(np.asarray(counts, float))) * self.idf[np.asarray(terms, int)]
+
     def weights(self, terms, counts) -> np.ndarray:
-        w = (1 + np.log(np.asarray(counts, float))) * self.idf[np.asarray(terms, int)]
+        w = self._unscaled(terms, counts)
         return w / math.sqrt(float(w @ w))
 
+    def _few(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the lists of some terms add to the score and to the vote of each entry."""
+        steer = self.steer[terms]
+        order = np.argsort(steer == 0, kind="stable")  # those that vote come first
+        terms, steer = terms[order], steer[order]
+        begin, end = self.first[terms], self.first[terms + 1]
+        lists, count = _ranges(begin, end), end - begin
+        weight = np.repeat(weights[order], count)
+        weight *= self.worth.take(lists)
+        begin, length = self.start.take(lists), self.length.take(lists)
+        entry = self.entry.take(_ranges(begin, begin + length), mode="clip")
+        score = np.bincount(entry, np.repeat(weight, length), minlength=self.size)
+        voting = np.count_nonzero(steer)
+        steer = np.repeat(steer[:voting], count[:voting])
+        vote = np.repeat(weight[:len(steer)] * steer, length[:len(steer)])
+        return score * self.factor, np.bincount(entry[:len(vote)], vote, minlength=self.size) * self.factor
+
     def search(self, queries: list[tuple]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(entries, similarities, vote weights) of each query's (terms, counts), none of them empty, best
         first: all entries at least as near as the one after the k-th."""
         if "voting" not in self.__dict__:
             self._build()
         n, blocks = len(queries), self.size // BLOCK
-        scores, dense, lists = np.zeros((n, self.size)), np.zeros((n, len(self.often))), []
+        scores, votes, dense = np.zeros((n, self.size)), np.zeros((n, self.size)), np.zeros((n, len(self.often)))
         for i, (terms, counts) in enumerate(queries):
             at, w = np.asarray(terms, np.int64), self.weights(terms, counts)
-            row = self.row[at]
-            dense[i, row[row >= 0]] = w[row >= 0]
-            at, w = at[row < 0], w[row < 0]
-            a, b = self.first[at], self.first[at + 1]
-            count = b - a
-            ends = np.cumsum(count)
-            which = np.repeat(a - ends + count, count)
-            which += np.arange(len(which))
-            entry, value = self.entry.take(which, mode="clip"), self.value.take(which, mode="clip")
-            of = np.repeat(np.arange(len(at), dtype=np.int32), count)
-            value *= w.take(of, mode="clip")
-            scores[i] = np.bincount(entry, value, minlength=self.size)
-            lists.append((entry, value, of, self.steer[at]))
+            row = self.row.take(at)
+            often = row >= 0
+            dense[i, row[often]] = w[often]
+            scores[i], votes[i] = self._few(at[~often], w[~often])
         wanted = min(blocks, -(-2 * (self.k + 1) // BLOCK))
         cube = scores.reshape(n, blocks, BLOCK)
         bound = cube.max(2) + dense @ self.most
         best = np.argpartition(-bound, wanted - 1, axis=1)[:, :wanted]
         visit = np.zeros((n, blocks), bool)
         np.put_along_axis(visit, best, True, axis=1)
-        self._visit(scores, dense, visit)
+        self._visit(cube, dense, visit)
         known = np.take_along_axis(cube, best[:, :, None], axis=1).reshape(n, wanted * BLOCK)
         least = np.partition(known, -self.k - 1, axis=1)[:, -self.k - 1] if known.shape[1] > self.k else np.zeros(n)
         more = ~visit & (bound >= least[:, None] - 1e-9)
-        self._visit(scores, dense, more)
+        self._visit(cube, dense, more)
         cube[~(visit | more)] = 0.0
-        votes = (dense[:, self.voting] * self.steer[self.often[self.voting]]) @ self.dense[self.voting]
+        votes += (dense[:, self.voting] * self.steer[self.often[self.voting]]) @ self.voted
         found = []
         if self.size > self.k:
             least = np.partition(scores, -self.k - 1, axis=1)[:, -self.k - 1]
-        for i, (entry, value, of, steer) in enumerate(lists):
-            near = scores[i] >= max(least[i] - 1e-9, 1e-12)
-            shared = np.nonzero(near.take(entry, mode="clip"))[0]
-            vote = votes[i] + np.bincount(entry[shared], value[shared] * steer[of[shared]], minlength=self.size)
-            near = np.nonzero(near)[0]
-            near = near[np.lexsort((near, -np.round(scores[i, near], 12)))]
-            found.append((near, np.round(scores[i, near], 12), vote[near]))
+        for i in range(n):
+            near = np.nonzero(scores[i] >= max(least[i] - 1e-9, 1e-12))[0]
+            score = np.round(scores[i, near], 12)
+            order = np.argsort(-score, kind="stable")
+            found.append((near[order], score[order], votes[i, near[order]]))
         return found
 
-    def _visit(self, scores: np.ndarray, dense: np.ndarray, visit: np.ndarray) -> None:
+    def _visit(self, cube: np.ndarray, dense: np.ndarray, visit: np.ndarray) -> None:
         """Add the weights of frequent terms to the scores of the marked (query, block) pairs."""
         for b in np.nonzero(visit.any(0))[0]:
-            some, at = np.nonzero(visit[:, b])[0], slice(b * BLOCK, (b + 1) * BLOCK)
-            scores[some, at] += dense[some] @ self.dense[:, at]
+            some = np.nonzero(visit[:, b])[0]
+            cube[some, b] += dense[some] @ self.dense[b]
 
     def _cut(self, found: tuple, without: int | None) -> tuple:
         """``found`` up to the last example as near as the k-th; ``without`` leaves out one example of the
@@ -395,6 +460,15 @@ class Examples:
                 for e, score in zip(found[0][:most].tolist(), found[1])]
 
 
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers from each begin up to its end, one range after another."""
+    count = (end - begin).astype(np.int64)
+    ends = np.cumsum(count)
+    numbers = np.repeat(begin - ends + count, count)
+    numbers += np.arange(len(numbers))
+    return numbers
+
+
 def _key(terms, counts) -> bytes:
     """Equal for equal vectors."""
     return hashlib.blake2b(np.asarray(terms, np.int64).tobytes() + np.asarray(counts, np.int64).tobytes(),
@@ -562,7 +636,7 @@ def score(documents: DataFrame, model: ToxicityModel, *, text: str = "text") ->
         for batch in batches:
             for at in range(0, batch.num_rows, QUERIES):
                 some = batch.slice(at, QUERIES)
-                yield _scored(some, model, curve, [model.counter.vector(t) for t in some.column(kept.index(text)).to_pylist()])
+                yield _scored(some, model, curve, model.counter.vectors(some.column(kept.index(text)).to_pylist()))
 
     schema = StructType(list(rows.schema.fields)).add("score", "double").add("predicted", "integer")
     return rows.mapInArrow(run, schema.add("evidence", DataType.fromDDL(_EVIDENCE)))
