@@ -37,9 +37,13 @@ LEAST_POINTS = 5
 LEAST_COUNT = 3
 
 
+def _hash(word: Column, doc_id: Column) -> Column:
+    return F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), word).cast("binary"))
+
+
 def damage(word: Column, doc_id: Column, every: int) -> Column:
     """``word`` without one character where the hash of document and word is a multiple of ``every``."""
-    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), word).cast("binary"))
+    h = _hash(word, doc_id)
     at = (h % F.length(word)).cast("int")
     cut = F.concat(F.substring(word, F.lit(1), at), F.substring(word, at + 2, F.length(word)))
     return F.when(h % every == 0, cut).otherwise(word)
@@ -49,13 +53,16 @@ def words(
     documents: DataFrame, *, every: int = DAMAGED, least_points: int = LEAST_POINTS, least_count: int = LEAST_COUNT
 ) -> DataFrame:
     """word and n (occurrences in all texts) of the words that are long and frequent enough."""
+    # Shorter runs are not even cut out: damage takes one character at most. (A filter on the damaged word would be
+    # pushed below it and hash every run twice.)
+    pattern = F.lit(f"[{RUN}]{{{max(1, least_points)},}}")
     runs = narrow(documents, ["doc_id", "text"]).select(
-        "doc_id", F.explode(F.split(ascii_lower(F.col("text").cast("string")), f"[^{RUN}]+")).alias("run")
+        "doc_id", F.explode(F.regexp_extract_all(ascii_lower(F.col("text").cast("string")), pattern, F.lit(0))).alias("run")
     )
+    whole = _hash(F.col("run"), F.col("doc_id")) % every != 0
     return (
-        runs.where("run <> ''")
+        runs.where((F.length("run") > least_points) | whole)
         .select(damage(F.col("run"), F.col("doc_id"), every).alias("word"))
-        .where(F.length("word") >= least_points)
         .groupBy("word").agg(F.count("*").alias("n"))
         .where(F.col("n") >= least_count)
     )
