@@ -13,8 +13,8 @@ A document is the set of its shingles, hashed by one function. Its sketch is the
    deviations allowed, are verified on full sets.
 4. Members that did not link with their pivot are compared with the members of its star,
    by the same filter and the same verification inside the join, so that only links leave it.
-   Members that are both linked with the pivot are in one component already. Big stars are
-   dealt over tasks by a hash of the member.
+   Members that are both linked with the pivot are in one component already. Both sides of a big star
+   are cut into blocks by a hash of the member; each pair of blocks is a key of its own.
 5. Links are contracted to components by alternating large-star and small-star steps.
 
 For sets that fit into the sketch the bound ``s`` is exact; for larger ones a link is lost if a sample
@@ -46,6 +46,8 @@ from skyledger.session import stage_table
 WORDS = 5
 SKETCH = 64
 STAR_BLOCK = 256
+#: Tasks that compare blocks: as many as there are full pairs of blocks, but not more than this.
+STAR_TASKS = 2000
 _SETS = "row long, doc_id long, n_shingles long, set_key binary, sketch array<long>"
 _FULL = "set_key binary, shingles array<long>"
 
@@ -183,7 +185,7 @@ def _postings(sets: DataFrame, percent: int, k: int) -> DataFrame:
 
 def _may_link(a: Column, b: Column, percent: int, k: int) -> Column:
     """Whether the sketch of the union leaves the asked similarity possible."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, k)
+    union = F.slice(F.sort_array(F.array_union(a, b)), 1, k)
     shared = F.size(F.array_intersect(F.array_intersect(a, b), union))
     bounds = F.array(*[F.lit(least_shared(n, percent) if n else 0) for n in range(k + 1)])
     return shared >= F.element_at(bounds, F.size(union) + 1)
@@ -279,19 +281,29 @@ def near_duplicates(
 
 def _rest_links(checked: DataFrame, full: DataFrame, percent: int, k: int) -> DataFrame:
     """Links (a, b) between members of a star of which at least one is not linked with the pivot."""
-    blocks = checked.groupBy("pivot").agg(
-        F.ceil(F.count("*") / STAR_BLOCK).cast("int").alias("blocks"), F.min("linked").alias("whole")
-    ).where("not whole").select("pivot", "blocks")  # stars with all members linked are done
-    members = checked.join(blocks, "pivot").join(full, "rep")
+    cut = lambda n: F.ceil(n / STAR_BLOCK).cast("int")
+    stars = checked.groupBy("pivot").agg(
+        F.count("*").cast("double").alias("members"), F.sum(F.when(F.col("linked"), 0).otherwise(1)).alias("apart")
+    ).where("apart > 0")  # stars with all members linked are done
+    pairs = stars.agg(F.ceil(F.sum(F.col("members") * F.col("apart")) / STAR_BLOCK**2)).first()[0] or 0
+    # The number of tasks is fixed: a hot partition split on both sides would become the product of its splits.
+    tasks = max(int(checked.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(pairs, STAR_TASKS))
+    members = checked.join(
+        stars.select("pivot", cut(F.col("members")).alias("blocks"), cut(F.col("apart")).alias("slots")), "pivot"
+    ).join(full, "rep")
+    place = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = members.select(
-        "pivot", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.col("rep").alias("a"),
+        "pivot", place("blocks").alias("block"), every("slots").alias("slot"), F.col("rep").alias("a"),
         F.col("linked").alias("a_linked"), F.col("shingles").alias("a_set"))
     right = members.where("not linked").select(
-        "pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("rep").alias("b"),
+        "pivot", every("blocks").alias("block"), place("slots").alias("slot"), F.col("rep").alias("b"),
         F.col("shingles").alias("b_set"))
+    key = ["pivot", "block", "slot"]
+    left, right = left.repartition(tasks, *key), right.repartition(tasks, *key)
     a, b = F.col("a_set"), F.col("b_set")
     on = (
-        (left["pivot"] == right["pivot"]) & (left["block"] == right["block"])
+        (left["pivot"] == right["pivot"]) & (left["block"] == right["block"]) & (left["slot"] == right["slot"])
         & (F.col("a") != F.col("b")) & (F.col("a_linked") | (F.col("a") < F.col("b")))
         & (F.least(F.size(a), F.size(b)) * 100 >= F.greatest(F.size(a), F.size(b)) * percent)
         & _may_link(F.slice(a, 1, k), F.slice(b, 1, k), percent, k) & _linked(a, b, percent)

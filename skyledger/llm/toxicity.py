@@ -111,10 +111,11 @@ def _word_hashes(text: str) -> tuple[np.ndarray, np.ndarray, Callable[[np.ndarra
     return start, stop - start, of
 
 
-def term_hashes(terms: Sequence[str]) -> np.ndarray:
+def term_hashes(terms: Sequence[str] | pa.ChunkedArray) -> np.ndarray:
     """The hashes of terms: words, or ``^`` and a beginning. Some thousand at a time: the sums and powers of a
     stretch take thirty times its characters."""
-    some = [_term_hashes(terms[at:at + HASHED_AT_ONCE]) for at in range(0, len(terms), HASHED_AT_ONCE)]
+    plain = lambda part: part.to_pylist() if isinstance(part, pa.ChunkedArray) else part
+    some = [_term_hashes(plain(terms[at:at + HASHED_AT_ONCE])) for at in range(0, len(terms), HASHED_AT_ONCE)]
     return np.concatenate([np.zeros(0, np.uint64), *some])
 
 
@@ -200,9 +201,9 @@ class TermCounter:
         return dict(zip(*(x.tolist() for x in self.vector(text))))
 
 
-def term_vectors(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """doc_id and the counts of vocabulary terms of each whole text."""
-    hashes = term_hashes(vocabulary)
+def term_vectors(documents: DataFrame, vocabulary: Sequence[str] | np.ndarray) -> DataFrame:
+    """doc_id and the counts of vocabulary terms (or terms of these hashes) of each whole text."""
+    hashes = vocabulary if isinstance(vocabulary, np.ndarray) else term_hashes(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TermCounter(hashes)
@@ -220,9 +221,9 @@ def term_vectors(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, terms array<int>, counts array<int>")
 
 
-def example_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+def example_terms(examples: DataFrame) -> tuple[pa.ChunkedArray, np.ndarray, np.ndarray]:
     """All terms of the examples, in order, and how many toxic and other ones have each; ``examples``
-    has text and toxic."""
+    has text and toxic. The terms stay in Arrow: as Python strings they take several times as much."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())
@@ -238,7 +239,7 @@ def example_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, np.ndarra
 
     sums = examples.select("text", "toxic").mapInArrow(run, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow().sort_by("term")
-    return sums.column("term").to_pylist(), sums.column("toxic").to_numpy(), sums.column("clean").to_numpy()
+    return sums.column("term"), sums.column("toxic").to_numpy(), sums.column("clean").to_numpy()
 
 
 class Examples:
@@ -478,15 +479,19 @@ def _key(terms, counts) -> bytes:
 class ToxicityModel:
     """Vocabulary, index and calibration."""
 
-    def __init__(self, vocabulary: list[str], examples: Examples | None, share: float, curve=(1.0, 0.0)):
-        self.vocabulary, self.examples, self.share, self.curve = vocabulary, examples, share, curve
-        self.hashes = term_hashes(vocabulary)
+    def __init__(self, terms: pa.ChunkedArray, hashes: np.ndarray, examples: Examples | None, share: float, curve=(1.0, 0.0)):
+        self._terms, self.hashes, self.examples, self.share, self.curve = terms, hashes, examples, share, curve
         self._known: dict[bytes, tuple] = {}
         self._counter: TermCounter | None = None
         self._shared = None
 
     def __getstate__(self):
-        return {**self.__dict__, "vocabulary": None, "_known": {}, "_counter": None, "_shared": None}
+        return {**self.__dict__, "_terms": None, "_known": {}, "_counter": None, "_shared": None}
+
+    @property
+    def vocabulary(self) -> list[str]:
+        """The terms; a broadcast model has their hashes only."""
+        return self._terms.to_pylist()
 
     def shared(self, spark: SparkSession):
         """The model as one broadcast, made once: it does not ship the curve, which may come later."""
@@ -566,16 +571,17 @@ def fit(documents: DataFrame, labels: DataFrame, *, examples: int = EXAMPLES):
         .dropDuplicates(["doc_id"]), "example_texts"
     )
     terms, in_toxic, in_clean = example_terms(taught)
-    vectors = term_vectors(texts, terms)
+    hashes = term_hashes(terms)
+    vectors = term_vectors(texts, hashes)
     sums = {r.toxic: r.n for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total = sum(sums.values())
     share = sums.get(1, 0) / total if total else 0.0
     toxic_of = {r.doc_id: r.toxic for r in taught.select("doc_id", "toxic").collect()}  # 2 * examples at most
     have = Counter(toxic_of.values())
-    if not terms or not have[0] or not have[1]:
-        return ToxicityModel(terms, None, share), vectors
+    if not len(terms) or not have[0] or not have[1]:
+        return ToxicityModel(terms, hashes, None, share), vectors
     rows = []
-    taught_vectors = stage_table(term_vectors(taught, terms), "example_vectors")
+    taught_vectors = stage_table(term_vectors(taught, hashes), "example_vectors")
     for batch in taught_vectors.toArrow().to_batches():
         found, counts = batch.column("terms"), batch.column("counts")
         for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
@@ -586,7 +592,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, examples: int = EXAMPLES):
     scale = (have[0] + have[1]) / total
     weight = (sums.get(0, 0) / have[0] * scale, sums.get(1, 0) / have[1] * scale)
     steer = np.where(apart < LEAST_APART, 0.0, apart * apart)
-    model = ToxicityModel(terms, Examples(idf, rows, weight, steer=steer), share)
+    model = ToxicityModel(terms, hashes, Examples(idf, rows, weight, steer=steer), share)
     del rows
     votes = _example_votes(taught_vectors, model, toxic_of).toPandas().sort_values(["toxic", "vote"])
     model.calibrate(votes["vote"].to_numpy(), votes["toxic"].to_numpy())
