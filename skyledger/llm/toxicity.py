@@ -47,6 +47,10 @@ NEIGHBOURS = 200
 BLOCK = 128
 #: Texts searched at once; their sums over all examples stay in a few megabytes.
 QUERIES = 128
+#: Terms of texts whose lists are looked up at once; a text of more is looked up by itself.
+TERMS = 1 << 15
+#: Numbers kept for ranges.
+NUMBERS = 1 << 16
 #: Characters of short texts hashed at once; a longer text is hashed by itself.
 STRETCH = 1 << 16
 #: Terms of a vocabulary hashed at once.
@@ -138,8 +142,15 @@ class TermCounter:
 
     def __init__(self, vocabulary: Sequence[str] | np.ndarray):
         hashes = vocabulary if isinstance(vocabulary, np.ndarray) else term_hashes(vocabulary)
-        self._order = np.argsort(hashes, kind="stable").astype(np.int32)
-        self._sorted = hashes[self._order]
+        order = np.argsort(hashes, kind="stable").astype(np.int32)
+        self._size = len(order)
+        # A last place that is no term's: every search ends there at the latest.
+        self._order = np.append(order, np.int32(-1))
+        self._sorted = np.append(hashes[order], np.uint64(2 ** 64 - 1))
+        #: Hashes spread evenly, so the terms from a hash's first bits on begin next to its place.
+        bits = max(1, self._size.bit_length())
+        self._shift = np.uint64(64 - bits)
+        self._start = np.searchsorted(self._sorted[:-1] >> self._shift, np.arange(1 << bits, dtype=np.uint64)).astype(np.int32)
         self._begins = np.full((max(1, len(hashes)), len(_BEGINNINGS)), -1, np.int32)
         self._met = np.zeros(max(1, len(hashes)), bool)
 
@@ -170,11 +181,11 @@ class TermCounter:
         terms[1:, strange] = self._beginnings(start[strange], length[strange], of).T
         ends = np.cumsum([len(t) + 1 for t in texts])
         document = np.searchsorted(start, ends)
-        document = np.repeat(np.arange(len(texts)) * len(self._sorted), np.diff(document, prepend=0))
+        document = np.repeat(np.arange(len(texts)) * self._size, np.diff(document, prepend=0))
         keys = (terms + document)[terms >= 0]
         keys, counts = np.unique(keys, return_counts=True)
-        bounds = np.searchsorted(keys, np.arange(len(texts) + 1) * len(self._sorted))
-        return [(keys[a:b] - i * len(self._sorted), counts[a:b]) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+        bounds = np.searchsorted(keys, np.arange(len(texts) + 1) * self._size)
+        return [(keys[a:b] - i * self._size, counts[a:b]) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
 
     def _beginnings(self, start: np.ndarray, length: np.ndarray, of: Callable) -> np.ndarray:
         """The terms of the beginnings of words, -1 for those a word has not or that are unknown."""
@@ -187,11 +198,14 @@ class TermCounter:
 
     def _places(self, hashes: np.ndarray) -> np.ndarray:
         """The terms of hashes, -1 for unknown ones."""
-        if not len(self._sorted):
-            return np.full(len(hashes), -1, np.int32)
-        at = np.searchsorted(self._sorted, hashes)
-        at[at == len(self._sorted)] = 0
-        return np.where(self._sorted.take(at) == hashes, self._order.take(at), np.int32(-1))
+        at = self._start.take(hashes >> self._shift)
+        there = self._sorted.take(at)
+        less = np.nonzero(there < hashes)[0]
+        while len(less):
+            at[less] += 1
+            there[less] = self._sorted.take(at[less])
+            less = less[there[less] < hashes[less]]
+        return np.where(there == hashes, self._order.take(at), np.int32(-1))
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, counts) of a text, terms in order."""
@@ -356,22 +370,30 @@ class Examples:
         w = self._unscaled(terms, counts)
         return w / math.sqrt(float(w @ w))
 
-    def _few(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What the lists of some terms add to the score and to the vote of each entry."""
+    def _few(self, terms: np.ndarray, weights: np.ndarray, query: np.ndarray, scores: np.ndarray, votes: np.ndarray) -> None:
+        """Write what the lists of some terms, each of a query, add to the score and to the vote of each entry."""
+        n = len(scores)
+        order = np.argsort(2 * query + (self.steer[terms] == 0), kind="stable")  # those that vote come first
+        terms, weights, query = terms[order], weights[order], query[order]
         steer = self.steer[terms]
-        order = np.argsort(steer == 0, kind="stable")  # those that vote come first
-        terms, steer = terms[order], steer[order]
         begin, end = self.first[terms], self.first[terms + 1]
         lists, count = _ranges(begin, end), end - begin
-        weight = np.repeat(weights[order], count)
+        length = self.length.take(lists)
+        weight = np.repeat(weights, count)
         weight *= self.worth.take(lists)
-        begin, length = self.start.take(lists), self.length.take(lists)
-        entry = self.entry.take(_ranges(begin, begin + length), mode="clip")
-        score = np.bincount(entry, np.repeat(weight, length), minlength=self.size)
-        voting = np.count_nonzero(steer)
-        steer = np.repeat(steer[:voting], count[:voting])
-        vote = np.repeat(weight[:len(steer)] * steer, length[:len(steer)])
-        return score * self.factor, np.bincount(entry[:len(vote)], vote, minlength=self.size) * self.factor
+        begin, end = self.start.take(begin), self.start.take(end)  # a term's lists follow one another
+        bounds = np.searchsorted(query, np.arange(n + 1))
+        voting = bounds[:-1] + np.bincount(query[steer > 0], minlength=n)
+        ends = np.append(0, np.cumsum(count))
+        steer = np.repeat(steer, count)
+        for i, (a, b, v) in enumerate(zip(bounds.tolist(), bounds[1:].tolist(), voting.tolist())):
+            entry = self.entry.take(_ranges(begin[a:b], end[a:b]), mode="clip")
+            of, vote = slice(ends[a], ends[b]), slice(ends[a], ends[v])
+            scores[i] = np.bincount(entry, np.repeat(weight[of], length[of]), minlength=self.size)
+            vote = np.repeat(weight[vote] * steer[vote], length[vote])
+            votes[i] = np.bincount(entry[:len(vote)], vote, minlength=self.size)
+        scores *= self.factor
+        votes *= self.factor
 
     def search(self, queries: list[tuple]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(entries, similarities, vote weights) of each query's (terms, counts), none of them empty, best
@@ -379,13 +401,17 @@ class Examples:
         if "voting" not in self.__dict__:
             self._build()
         n, blocks = len(queries), self.size // BLOCK
-        scores, votes, dense = np.zeros((n, self.size)), np.zeros((n, self.size)), np.zeros((n, len(self.often)))
-        for i, (terms, counts) in enumerate(queries):
-            at, w = np.asarray(terms, np.int64), self.weights(terms, counts)
-            row = self.row.take(at)
+        scores, votes, dense = np.empty((n, self.size)), np.empty((n, self.size)), np.zeros((n, len(self.often)))
+        for a, b in _stretches([len(terms) for terms, _ in queries], TERMS):
+            sizes = [len(terms) for terms, _ in queries[a:b]]
+            terms = np.concatenate([np.asarray(terms, np.int64) for terms, _ in queries[a:b]])
+            w = self._unscaled(terms, np.concatenate([counts for _, counts in queries[a:b]]))
+            ends = np.cumsum(sizes).tolist()
+            w /= np.repeat([math.sqrt(float(w[e - size:e] @ w[e - size:e])) for size, e in zip(sizes, ends)], sizes)
+            query, row = np.repeat(np.arange(b - a), sizes), self.row.take(terms)
             often = row >= 0
-            dense[i, row[often]] = w[often]
-            scores[i], votes[i] = self._few(at[~often], w[~often])
+            dense[a:b][query[often], row[often]] = w[often]
+            self._few(terms[~often], w[~often], query[~often], scores[a:b], votes[a:b])
         wanted = min(blocks, -(-2 * (self.k + 1) // BLOCK))
         cube = scores.reshape(n, blocks, BLOCK)
         bound = cube.max(2) + dense @ self.most
@@ -400,11 +426,14 @@ class Examples:
         cube[~(visit | more)] = 0.0
         votes += (dense[:, self.voting] * self.steer[self.often[self.voting]]) @ self.voted
         found = []
-        if self.size > self.k:
-            least = np.partition(scores, -self.k - 1, axis=1)[:, -self.k - 1]
         for i in range(n):
+            # At least as near as the one after the k-th of the most promising blocks, then as that of all.
             near = np.nonzero(scores[i] >= max(least[i] - 1e-9, 1e-12))[0]
-            score = np.round(scores[i, near], 12)
+            score = scores[i, near]
+            if len(near) > self.k:
+                some = score >= np.partition(score, -self.k - 1)[-self.k - 1] - 1e-9
+                near, score = near[some], score[some]
+            score = np.round(score, 12)
             order = np.argsort(-score, kind="stable")
             found.append((near[order], score[order], votes[i, near[order]]))
         return found
@@ -466,10 +495,27 @@ def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     count = (end - begin).astype(np.int64)
     ends = np.cumsum(count)
     numbers = np.repeat(begin - ends + count, count)
-    numbers += np.arange(len(numbers))
+    numbers += _numbers()[:len(numbers)] if len(numbers) <= NUMBERS else np.arange(len(numbers))
     return numbers
 
 
+@lru_cache(maxsize=1)
+def _numbers() -> np.ndarray:
+    return np.arange(NUMBERS)
+
+
+def _stretches(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of things next to each other of at most that size together, or of one thing."""
+    first = total = 0
+    for i, size in enumerate(sizes):
+        if i > first and total + size > most:
+            yield first, i
+            first, total = i, 0
+        total += size
+    if sizes:
+        yield first, len(sizes)
+
+
 def _key(terms, counts) -> bytes:
     """Equal for equal vectors."""
     return hashlib.blake2b(np.asarray(terms, np.int64).tobytes() + np.asarray(counts, np.int64).tobytes(),
