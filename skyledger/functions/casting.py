@@ -18,6 +18,12 @@ def is_blank(col: Column) -> Column:
     return col.isNull() | (F.trim(col) == "")
 
 
+def kept_whole(col: Column) -> Column:
+    """The same value, in an expression that Spark does not repeat: a filter on it stays above the projection, in place
+    of being pushed below it with a copy of all that the column is made from."""
+    return F.when(F.monotonically_increasing_id() >= 0, col)
+
+
 def missing_fields(schema: T.StructType, known: Iterable[str]) -> list[T.StructField]:
     """Fields of ``schema`` whose names are not in ``known``, in order."""
     known = set(known)

@@ -6,9 +6,13 @@ The rows are dirty on purpose: every quality rule, clock format and NULL case oc
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.session import LARGE_BYTES, scanned_bytes, stage_table
+
 WEATHER_SHIFT_DAYS = 9496  # moves the events into the range of the shipping dates
 
 
@@ -111,21 +115,32 @@ _OPS_SPLIT = {
     ),
     "year_month": ("date_format(l_shipdate, 'yyyy-MM')", "strftime(l_shipdate, '%Y-%m')"),
 }
+# What the expressions above read of a line item.
+_LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
 _HASH = ("md5(concat_ws('#', raw_record, cast(c_nationkey as string),"
          " cast(cast(round(l_extendedprice * 100) as bigint) as string)))")
 
 
-def ops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw flight operations: one per line item, from its supplier's to its customer's nation."""
-    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = (
-        load(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-              F.col("o_custkey") == F.col("c_custkey"))
-        .join(load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
-              F.col("l_suppkey") == F.col("s_suppkey"))
-    )
+def ops(
+    spark: SparkSession, sf_dir: str, stage: Callable[[DataFrame, str], DataFrame] = stage_table
+) -> DataFrame:
+    """Raw flight operations: one per line item, from its supplier's to its customer's nation.
+
+    Large tables are joined once and written: orders meet their customers before line items are shuffled, and
+    what reads the operations again shuffles none.
+    """
+    lines, orders = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customers = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    suppliers = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    of_order, of_customer = F.col("l_orderkey") == F.col("o_orderkey"), F.col("o_custkey") == F.col("c_custkey")
+    of_supplier = F.col("l_suppkey") == F.col("s_suppkey")
+    if scanned_bytes(lines) < LARGE_BYTES:
+        joined = lines.join(orders, of_order).join(customers, of_customer).join(suppliers, of_supplier)
+    else:
+        places = orders.join(customers, of_customer).select("o_orderkey", "c_nationkey")
+        met = lines.join(places, of_order).join(suppliers, of_supplier)
+        joined = stage(met.select(*_LINE_COLUMNS, "c_nationkey", "s_nationkey"), "operations")
     spark_only = {name: texts[0] for name, texts in _OPS_SPLIT.items()}
     columns = {**spark_only, **_OPS}
     return joined.selectExpr(
