@@ -12,7 +12,7 @@ from skyledger.functions import calendar
 from skyledger.functions.measures import LATE_MINUTES, roll_up
 from skyledger.functions.severity import category_severity, composite_severity
 from skyledger.operators.dedup import latest_per_key
-from skyledger.session import stage_table
+from skyledger.session import broadcast_if_modest, stage_table
 
 # Trailing windows in days, and the tail-number suffix.
 ROUTE_WINDOW_DAYS = 90
@@ -84,8 +84,8 @@ def add_trailing(flights: DataFrame, route: DataFrame, carrier: DataFrame) -> Da
     """Attach both trailing feature pairs to the flights of their days."""
     return (
         flights
-        .join(route, ["route_code", "flight_date"], "left")
-        .join(carrier, ["reporting_airline", "flight_date"], "left")
+        .join(broadcast_if_modest(route), ["route_code", "flight_date"], "left")
+        .join(broadcast_if_modest(carrier), ["reporting_airline", "flight_date"], "left")
     )
 
 
@@ -127,7 +127,7 @@ def add_weather(flights: DataFrame, hours: DataFrame) -> DataFrame:
 
     ``hours`` has one row per station and hour, so the join never multiplies flights.
     """
-    return _join_departure_hour(flights, hours).withColumn(
+    return _join_departure_hour(flights, broadcast_if_modest(hours)).withColumn(
         "origin_weather_severity", category_severity(F.col("origin_flight_category"))
     )
 

@@ -12,10 +12,11 @@ from skyledger.functions.measures import INPUTS
 from skyledger.functions.severity import category_severity, composite_severity
 from skyledger.operators import dimensions, features, flights, summaries
 from skyledger.operators.dedup import latest_per_key
-from skyledger.session import fit_shuffles, prepare, stage_table
+from skyledger.session import fit_shuffles, prepare, scratch, stage_table
 from skyledger.workloads import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
+Stage = Callable[[DataFrame, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 _FLIGHT_ID = flights.FLIGHT_KEY
@@ -46,12 +47,13 @@ def columns_of(table: str) -> list[str]:
     return [name for name in target.schema.names if name != target.surrogate]
 
 
-def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flights.classify_flights(adapters.ops(spark, sf_dir))
+def classified(spark: SparkSession, sf_dir: str, stage: Stage = stage_table) -> DataFrame:
+    return flights.classify_flights(adapters.ops(spark, sf_dir, stage))
 
 
-def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flights.valid_flights(classified(spark, sf_dir))
+def valid(spark: SparkSession, sf_dir: str, stage: Stage = stage_table) -> DataFrame:
+    """Sound flights; ``stage`` writes the operations of large tables."""
+    return flights.valid_flights(classified(spark, sf_dir, stage))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,11 +224,14 @@ _FEATURE_INPUT = (
 )
 
 
-def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature table, from clean flights and a daily roll-up that are written once."""
-    clean = stage_table(valid(spark, sf_dir).select(*_FEATURE_INPUT), "clean_flights")
-    daily = stage_table(summaries.route_carrier_day(clean), "daily")
-    lookups = features.feature_lookups(daily, weather(spark, sf_dir)).staged()
+def feature_rows(spark: SparkSession, sf_dir: str, stage: Stage = stage_table) -> DataFrame:
+    """The feature table, from clean flights and lookups that ``stage`` writes once. What these are made
+    from is removed as soon as they are there."""
+    with scratch(spark) as brief:
+        clean = stage(valid(spark, sf_dir, brief).select(*_FEATURE_INPUT), "clean_flights")
+    with scratch(spark) as brief:
+        daily = brief(summaries.route_carrier_day(clean), "daily")
+        lookups = features.feature_lookups(daily, weather(spark, sf_dir)).staged(stage)
     return features.build_features(clean, lookups).select(*columns_of("gold.ml_features"))
 
 
